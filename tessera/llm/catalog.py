@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, mixing, sharding, simhash
+from tessera.llm import bpe, chat, media, mixing, quality, sharding, simhash, warc
 
 #: The tokenizer of op6; a parameter of the operator.
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +21,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def fitted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """The classifier of documents that are good (quality 1) and fit for use (toxic 0)."""
+    return quality.fit(docs, table(spark, sf_dir, "labels"), (F.col("quality") == 1) & (F.col("toxic") == 0))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, fitted(spark, docs, sf_dir))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     ours = spark.range(2).select(
@@ -42,13 +52,22 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(packages, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     return sharding.interleave(docs, SHARDS).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_chat, op5_mixing, op6_bpe, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op5_mixing, op6_bpe, op8_warc, op9_media, op10_sharding)}
 
 ORACLES: dict[str, str] = {}
 
@@ -94,3 +113,21 @@ SELECT doc_id, source, round(rate, 6) AS rate, CAST(n AS INTEGER) AS n_copies, C
   md5('v{mixing.SEED + 1}' || chr(31) || 'v' || doc_id || chr(31) || 'n' || chr(31) || 'v' || copy) AS shuffle_key
 FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
 """
+
+#: SHA-1 in base 32: the 40 hex digits as 160 bits, five at a time.
+ORACLES["op8_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), h AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM p
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first,
+    array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(CAST('0x' || substr(hex, i, 1) AS INTEGER)), 4, '0')), '') AS bits
+  FROM h
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(0, 5), lambda b: CAST(substr(bits, CAST(5 * i + b + 1 AS INTEGER), 1) AS INTEGER) * CAST(pow(2, 4 - b) AS INTEGER)))::INTEGER, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
