@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, media, mixing, quality, sharding, simhash, warc
+from tessera.llm import ann, bpe, chat, media, mixing, quality, sharding, simhash, warc
 
 #: The tokenizer of op6; a parameter of the operator.
 TOKENIZER = "byte_bpe_50k.json"
@@ -42,6 +42,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns.unionByName(ours)))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed = mixing.mix(docs, mixing.rates(docs))
@@ -67,7 +71,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(docs, SHARDS).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op5_mixing, op6_bpe, op8_warc, op9_media, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op4_ann, op5_mixing, op6_bpe, op8_warc, op9_media, op10_sharding)}
 
 ORACLES: dict[str, str] = {}
 
