@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, bpe, chat, media, mixing, quality, sharding, simhash, warc
+from tessera.llm import ann, bpe, chat, katz, media, mixing, quality, sharding, simhash, warc
 
 #: The tokenizer of op6; a parameter of the operator.
 TOKENIZER = "byte_bpe_50k.json"
@@ -56,6 +56,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     packages = warc.write(table(spark, sf_dir, "pages"))
     return warc.read(packages, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -71,7 +75,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(docs, SHARDS).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op4_ann, op5_mixing, op6_bpe, op8_warc, op9_media, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_quality, op3_chat, op4_ann, op5_mixing, op6_bpe, op7_katz, op8_warc, op9_media, op10_sharding)}
 
 ORACLES: dict[str, str] = {}
 
