@@ -267,7 +267,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     distinct, roots = _grouped(fps, id_col)
     linked = distinct.join(roots, "fingerprint")
     linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("component")), "root").select("fingerprint", "component")
-    least = distinct.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("component", "least").alias("component_id"))
+    # Stored, so that the last join is one of two plain shuffles, and Spark can split the fingerprint of a hot text.
+    least = stored(distinct.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("component", "least").alias("component_id")), "fingerprint-components")
     return fps.join(least, "fingerprint").select(id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
