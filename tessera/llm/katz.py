@@ -43,7 +43,9 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import stored
 
-BATCH_TOKENS = 3_000_000
+BATCH_TOKENS = 2_000_000
+#: Bytes of text that are cut to tokens at once.
+SLICE_BYTES = 12 << 20
 #: Counts up to this are discounted.
 CUTOFF = 5
 #: Tokens in a batch for each bucket, on average over all batches: buckets = tokens / BUCKET_TOKENS.
@@ -103,6 +105,15 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(real), np.bincount(parent.filter(real).to_numpy(), minlength=len(texts))
 
 
+def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about SLICE_BYTES of text."""
+    upto = np.cumsum(pc.binary_length(b.column(b.num_columns - 1)).fill_null(0).to_numpy().astype(np.int64))
+    cuts = np.flatnonzero(np.diff(upto // SLICE_BYTES)) + 1
+    for a, e in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
+        if e > a:
+            yield b.slice(a, e - a)
+
+
 def _streams(texts: pa.Array, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Runs of texts with up to `limit` tokens: first, end, local word of each token, hashes of the local words, tokens of each text."""
     words, n = words_of(texts)
@@ -137,14 +148,15 @@ def batches_of(docs: DataFrame, held_out: Column, id_col: str, text_col: str, li
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for first, end, stream, hashes, n in _streams(b.column(2), limit):
-                marks = held[first:end]
-                counts = np.bincount(stream[~np.repeat(marks, n)], minlength=len(hashes))
-                ids = pa.ListArray.from_arrays(pa.array([0, end - first], pa.int32()), b.column(0).slice(first, end - first))
-                packed = [pa.array([x]) for x in (uuid.uuid4().hex, len(stream), len(hashes))] + [pa.array([x], pa.binary()) for x in (pack(n), pack(marks), pack(stream), _raw(hashes), pack(counts))]
-                names = ["batch", "n_tokens", "n_words", "lengths", "held", "tokens", "words", "counts"]
-                yield pa.RecordBatch.from_arrays([ids, *packed], names=["ids", *names])
+            for part in _slices(b):
+                held = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                for first, end, stream, hashes, n in _streams(part.column(2), limit):
+                    marks = held[first:end]
+                    counts = np.bincount(stream[~np.repeat(marks, n)], minlength=len(hashes))
+                    ids = pa.ListArray.from_arrays(pa.array([0, end - first], pa.int32()), part.column(0).slice(first, end - first))
+                    packed = [pa.array([x]) for x in (uuid.uuid4().hex, len(stream), len(hashes))] + [pa.array([x], pa.binary()) for x in (pack(n), pack(marks), pack(stream), _raw(hashes), pack(counts))]
+                    names = ["batch", "n_tokens", "n_words", "lengths", "held", "tokens", "words", "counts"]
+                    yield pa.RecordBatch.from_arrays([ids, *packed], names=["ids", *names])
 
     schema = T.StructType().add("ids", T.ArrayType(rows.schema["id"].dataType)).add("batch", "string").add("n_tokens", "long").add("n_words", "long")
     for name in ("lengths", "held", "tokens", "words", "counts"):
@@ -173,7 +185,8 @@ def word_answers(batches: DataFrame, n_buckets: int) -> DataFrame:
 
     def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
-            for batch, words, counts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for row in range(b.num_rows):
+                batch, words, counts = (c[row].as_py() for c in b.columns)
                 h, c = _unraw(words, np.uint64), unpack(counts)
                 yield _rows([(k, batch, _raw(h[at]), pack(c[at])) for k, at in _by_bucket((h % np.uint64(n_buckets)).astype(np.int64))], _WORDS)
 
