@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions import numbers, polygons, strings
 from tessera.operators import annotations, layout, paste, sampling, splits, stats
+from tessera.raster import augment
+from tessera.streaming import sampler
+from tessera.tables import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -540,3 +543,39 @@ def paste_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = stats.size_calibration(table(spark, sf_dir, "lineitem"), "l_returnflag", F.col("l_quantity") * 10)
     out = paste.sized(rows, "o_orderkey", class_of, sizes, "component", "l_returnflag", "median_area", 0.2, SEED)
     return out.select("o_orderkey", "aug", "attempt", "n_target", "component", "target_area")
+
+
+# --- streams and rasters ----------------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH {FRAMES_SQL}, r AS (SELECT *, min(ts_ns) OVER (PARTITION BY user_id) AS f, max(ts_ns) OVER (PARTITION BY user_id) - min(ts_ns) OVER (PARTITION BY user_id) AS d FROM e),
+t AS (SELECT *, floor((ts_ns - f - {DAY}) / {2.0 * DAY}) AS b, row_number() OVER (PARTITION BY user_id ORDER BY ts_ns, event_id) AS i FROM r WHERE ts_ns - f >= {DAY} AND ts_ns - f < greatest(0, d - {2 * DAY})),
+c AS (SELECT *, i + least(0, min(b + 1 - i) OVER (PARTITION BY user_id ORDER BY ts_ns, event_id)) AS c FROM t),
+p AS (SELECT *, coalesce(lag(c) OVER (PARTITION BY user_id ORDER BY ts_ns, event_id), 0) AS p FROM c)
+SELECT user_id, event_id, ts_ns, CAST(c - 1 AS BIGINT) AS sample_no FROM p WHERE c > p"""
+)
+def stream_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream of files, sampled with state, as far as there are files now."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(f"{sf_dir}/events.parquet*")
+    stream = stream.withColumn("ts_ns", F.unix_micros(F.col("ts").cast("timestamp")) * 1000)
+    kept = sampler.sample(stream, "user_id", "ts_ns", "event_id", 2 * DAY, DAY, 2 * DAY)
+    out = fresh_dir(spark, "stream-sample")
+    run = kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-log").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema(kept.schema).parquet(out).select("user_id", "event_id", "ts_ns", "sample_no")
+
+
+@query()
+def raster_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels of each polygon, filled on a canvas of 256 by 256."""
+    rows = polygon_rows(spark, sf_dir).select("vec_id", F.transform("flat", lambda v: v / 256).alias("poly"))
+    return rows.select("vec_id", augment.raster_area(F.col("poly"), F.lit(256), F.lit(256)).alias("n_pixels"))
+
+
+@query()
+def raster_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the mask file of each polygon's parity fill."""
+    rows = polygon_rows(spark, sf_dir).select("vec_id", F.array("flat").alias("polys"))
+    return rows.select("vec_id", F.length(augment.region_png(F.col("polys"), F.lit(256), F.lit(256))).alias("n_bytes"))

@@ -36,17 +36,18 @@ def every_nth(frames: DataFrame, recording: str, time: str, tie: str, n: int, na
     return frames.withColumn("__i", at).filter(F.pmod(F.col("__i"), F.lit(n)) == 0).withColumn(name, F.floor(F.col("__i") / n).cast("int")).drop("__i")
 
 
-def stride_sample(frames: DataFrame, recording: str, time: str, tie: str, stride: int, start: int | Column = 0, name: str = "sample_no") -> DataFrame:
+def stride_sample(frames: DataFrame, recording: str, time: str, tie: str, stride: int, origin: Column | None = None, name: str = "sample_no") -> DataFrame:
     """Frames on a fixed grid of times with catch-up, numbered from 0 within each recording.
 
     A frame is kept when its time has reached the next target; then the target moves on by one stride, so after a gap
     frames are kept one after the other until the target has caught up. With b the number of the stride that frame i
     (from 1) lies in, c(i) = i + min(0, min over j <= i of b(j) + 1 - j) frames are kept up to i, and i is one of them if
-    c grows there. `time` must be in the units of stride, and start is the first target's offset.
+    c grows there. `time` and stride have the same units; the first target is origin, or else the first frame.
     """
     order = _in_order(recording, time, tie)
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    b = F.floor((F.col(time) - F.min(time).over(Window.partitionBy(recording)) - start) / F.lit(stride))
+    origin = F.min(time).over(Window.partitionBy(recording)) if origin is None else origin
+    b = F.floor((F.col(time) - origin) / F.lit(stride))
     rows = frames.withColumn("__i", F.row_number().over(order).cast("long")).withColumn("__b", b + 1 - F.col("__i"))
     rows = rows.withColumn("__c", F.col("__i") + F.least(F.lit(0), F.min("__b").over(upto)))
     rows = rows.withColumn("__p", F.coalesce(F.lag("__c").over(order), F.lit(0)))
