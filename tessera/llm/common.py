@@ -2,41 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The most rows that are ever sent to all executors.
-BROADCAST_ROWS = 100_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir.
+from tessera.tables import fresh_dir, shared_dir, stored
 
-    Only a local session, as in tests, may have none; then it gets a temporary one.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if spark.conf.get("tessera.shared.dir", None) is None:
-        spark.conf.set("tessera.shared.dir", "file://" + tempfile.mkdtemp(prefix="tessera-"))
-    return spark.conf.get("tessera.shared.dir")
+__all__ = ["BROADCAST_ROWS", "fresh_dir", "join_small", "key_text", "shared_dir", "small", "stored", "unit", "unused"]
 
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as a table in the shared folder and read back: cuts the lineage and outlives lost executors."""
-    spark, path = df.sparkSession, fresh_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: The most rows that are ever sent to all executors.
+BROADCAST_ROWS = 100_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
