@@ -1,0 +1,140 @@
+import collections
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from tessera.llm import katz
+
+END = "\n"
+
+
+def tokens_of(text):
+    return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), END]
+
+
+def discounts(counts, k=katz.CUTOFF):
+    n = [0, *(sum(v == r for v in counts.values()) for r in range(1, k + 2))]
+    fall = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
+    last = (k + 1) * n[k + 1] / n[1] if n[1] else 1
+    out = {}
+    for r in range(1, k + 1):
+        d = ((r + 1) * n[r + 1] / (r * n[r]) - last) / (1 - last) if n[r] and n[r + 1] and last < 1 else 0
+        out[r] = d if 0 < d < 1 else (r - fall) / r
+    return out
+
+
+class Plain:
+    """The model by dictionaries."""
+
+    def __init__(self, texts):
+        self.c1, self.c2, self.h = collections.Counter(), collections.Counter(), collections.Counter()
+        for t in texts:
+            w = tokens_of(t)
+            self.c1.update(w)
+            self.c2.update(zip([END, *w], w, strict=False))
+        for (h, _), n in self.c2.items():
+            self.h[h] += n
+        self.n, self.v = sum(self.c1.values()), len(self.c1)
+        self.d1, self.d2 = discounts(self.c1), discounts(self.c2)
+        freed = sum((1 - self.d1[c]) * c for c in self.c1.values() if c in self.d1)
+        self.total = self.n + (0 if freed else 1)
+        self.unknown = (freed or 1) / self.total if self.n else 1.0
+
+    def p1(self, w):
+        return self.d1.get(self.c1[w], 1) * self.c1[w] / self.total if self.c1[w] else self.unknown
+
+    def p(self, w, h):
+        if not self.h[h]:
+            return self.p1(w)
+        after = {x: n for (y, x), n in self.c2.items() if y == h}
+        freed = sum((1 - self.d2[n]) * n for n in after.values() if n in self.d2)
+        size = self.h[h] + (0 if freed else 1)
+        if w in after:
+            return self.d2.get(after[w], 1) * after[w] / size
+        return (freed or 1) / size / (1 - sum(map(self.p1, after))) * self.p1(w)
+
+    def score(self, text):
+        w = tokens_of(text)
+        base = sum(math.log10((self.c1[x] + 0.5) / (self.n + 0.5 * (self.v + 1))) for x in w)
+        return len(w), sum(self.c1[x] > 0 for x in w), self.n, base, sum(math.log10(self.p(x, h)) for h, x in zip([END, *w], w, strict=False))
+
+
+def check(got, rows, held):
+    model = Plain([t for i, t in rows if not held(i)])
+    want = sorted(((i, held(i), *model.score(t)) for i, t in rows), key=repr)
+    got = sorted(map(tuple, got), key=repr)
+    assert len(got) == len(want)
+    for a, b in zip(got, want, strict=True):
+        assert a[:5] == b[:5]
+        assert a[5] == pytest.approx(b[5], rel=1e-9, abs=1e-12) and a[6] == pytest.approx(b[6], rel=1e-9, abs=1e-12)
+
+
+def by_crc(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+
+
+def corpus(n, seed=0, hot=0.0):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    weight = [1 / (i + 1) for i in range(400)]
+    out = []
+    for i in range(n):
+        w = rng.choices(words, weight, k=rng.randint(1, 60))
+        w = [x for y in w for x in ((y, "HOT") if rng.random() < hot else (y,))]
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize(("batch", "bucket", "hot"), [(2_000_000, 3_000_000, 0.0), (300, 500, 0.0), (300, 400, 0.9)])
+def test_scores_equal_a_plain_model(spark, batch, bucket, hot):
+    rows = corpus(250, hot=hot)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check(katz.score(df, batch_tokens=batch, bucket_tokens=bucket).collect(), rows, by_crc)
+
+
+def test_every_history_sums_to_one():
+    model = Plain([t for _, t in corpus(120)])
+    for h in [END, "w0", "w1", *list(model.c1)[-5:], "never"]:
+        assert sum(model.p(w, h) for w in model.c1) + model.p("\0unknown", h) == pytest.approx(1)
+
+
+def test_held_out_texts_are_likelier_than_under_unigrams(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        at, w = rng.randrange(50), []
+        for _ in range(40):
+            at = (at * 3 + rng.randrange(4)) % 50
+            w.append(f"w{at}")
+        rows.append((i, " ".join(w)))
+    got = katz.score(spark.createDataFrame(rows, "doc_id long, text string")).filter("held_out").collect()
+    assert sum(r["score"] for r in got) > 0.6 * sum(r["base_score"] for r in got)
+
+
+def test_odd_rows(spark, odd, none):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    check(katz.score(odd).collect(), rows, by_crc)
+    assert katz.score(none).count() == 0
+
+
+def test_without_training_every_token_is_the_unknown_word(spark):
+    from pyspark.sql import functions as F
+
+    got = katz.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), held_out=F.lit(True)).first()
+    assert tuple(got) == (1, True, 3, 0, 0, 0.0, 0.0)
+
+
+@pytest.mark.parametrize("a", [[], [0], [1, 2, 3], [255, 256, 1 << 40], list(range(1000))])
+def test_packed_arrays_round_trip(a):
+    assert katz.unpack(katz.pack(np.array(a, np.int64))).tolist() == a
+
+
+def test_words_end_at_ascii_white_space_alone():
+    import pyarrow as pa
+
+    words, n = katz.words_of(pa.array(["A\x85b \x1cC\x0bd", None, " \t", "É E"]))
+    assert words.to_pylist() == ["a\x85b", "\x1cc", "d", "É", "e"] and n.tolist() == [3, 0, 0, 2]

@@ -1,0 +1,116 @@
+import struct
+import zlib
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm import media
+
+
+def box(kind, *parts, wide=False):
+    body = b"".join(parts)
+    return (struct.pack(">I4sQ", 1, kind, len(body) + 16) if wide else struct.pack(">I4s", len(body) + 8, kind)) + body
+
+
+def container(sizes, chunks_of, keys=None, big=False, version=0, wide=False):
+    """A container with samples of several sizes in chunks that aren't next to each other."""
+    samples = [bytes([i % 251]) * s for i, s in enumerate(sizes)]
+    head, at, chunks, data, i = b"", 0, [], b"", 0
+    for n in chunks_of:
+        data += b"gap"
+        chunks.append(len(data))
+        data += b"".join(samples[i : i + n])
+        i += n
+    full = bytes([version, 0, 0, 0])
+    runs = [(k + 1, n, 1) for k, n in enumerate(chunks_of) if k == 0 or n != chunks_of[k - 1]]
+
+    def moov(base):
+        offsets = [base + c for c in chunks]
+        tables = [
+            box(b"stsd", bytes(4), struct.pack(">I", 1), box(b"avc1", bytes(20))),
+            box(b"stts", bytes(4), struct.pack(">III", 1, len(sizes), 10)),
+            box(b"stsc", bytes(4), struct.pack(">I", len(runs)), *(struct.pack(">III", *r) for r in runs)),
+            box(b"stsz", bytes(4), struct.pack(">II", 0, len(sizes)), struct.pack(f">{len(sizes)}I", *sizes)),
+            box(b"co64" if big else b"stco", bytes(4), struct.pack(">I", len(offsets)), struct.pack(f">{len(offsets)}{'Q' if big else 'I'}", *offsets)),
+        ]
+        if keys is not None:
+            tables.append(box(b"stss", bytes(4), struct.pack(">I", len(keys)), struct.pack(f">{len(keys)}I", *keys)))
+        clock = struct.pack(">QQIQ", 0, 0, 600, 1234) if version else struct.pack(">IIII", 0, 0, 600, 1234)
+        return box(b"moov", box(b"trak", box(b"mdia", box(b"mdhd", full, clock), box(b"minf", box(b"stbl", *tables), wide=wide))), wide=wide)
+
+    head = box(b"ftyp", b"isom")
+    base = len(head) + len(moov(0)) + (16 if wide else 8)
+    return head + moov(base) + box(b"mdat", data, wide=wide), b"".join(samples)
+
+
+@pytest.mark.parametrize("big", [False, True])
+@pytest.mark.parametrize("version", [0, 1])
+@pytest.mark.parametrize("wide", [False, True])
+def test_sample_tables(big, version, wide):
+    sizes = [5, 0, 7, 9, 1, 3, 11]
+    data, payload = container(sizes, [2, 2, 3], [1, 4], big, version, wide)
+    t = media.probe(media.reader(data), len(data))
+    assert (t.codec, t.timescale, t.duration, len(t.sizes)) == ("avc1", 600, 1234, 7)
+    assert media.payload_of(media.reader(data), t) == payload
+    assert t.keyframes.tolist() == [0, 3]
+    assert data[t.offsets[3] : t.offsets[3] + t.sizes[3]] == b"\3" * 9
+
+
+def test_without_a_sync_table_every_sample_is_a_keyframe():
+    data, _ = container([4, 4], [2])
+    assert media.probe(media.reader(data), len(data)).keyframes.tolist() == [0, 1]
+
+
+def test_payloads_are_not_read_by_a_probe():
+    data = media.pack(b"x" * 192 * 5000)
+    seen = []
+
+    def read(offset, n):
+        seen.append((offset, n))
+        return data[offset : offset + n]
+
+    t = media.probe(read, len(data))
+    assert all(o + n <= t.offsets[0] + 8 for o, n in seen)
+
+
+@pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 1024, 1025, 3000])
+def test_packing_round_trips(n):
+    payload = np.random.default_rng(n).integers(0, 256, 192 * n, dtype=np.uint8).tobytes()
+    data = media.pack(payload)
+    t = media.probe(media.reader(data), len(data))
+    assert media.payload_of(media.reader(data), t) == payload
+    assert t.codec == "raw " and t.duration == 192 * n and t.keyframes.tolist() == list(range(0, n, 64))
+    assert {b.path for b in media.walk(media.reader(data), 0, len(data))} >= {"/ftyp", "/moov/mvhd", "/moov/trak/mdia/minf/stbl/stsz", "/mdat"}
+
+
+def test_a_payload_must_be_whole():
+    for bad in (b"", b"x" * 191):
+        with pytest.raises(ValueError):
+            media.pack(bad)
+
+
+def test_columns(spark):
+    good = media.pack(b"x" * 192)
+    rows = [(1, good), (2, None), (3, b""), (4, good[:100]), (5, b"\0\0\0\1moov"), (6, good[:4] + b"moov" + good[8:]), (7, good.replace(b"stsz", b"xxxx"))]
+    df = spark.createDataFrame(rows, "id int, media binary").withColumn("codec", F.lit("clash"))
+    got = {r["id"]: r for r in media.probe_columns(df).collect()}
+    assert got[1]["_codec"] == "raw " and got[1]["duration_s"] == 192 / 8000 and len(got[1]["keyframes"]) == 1 and got[1]["error"] is None
+    assert got[2]["_codec"] is None and got[2]["error"] is None
+    assert all(got[i]["_codec"] is None and got[i]["error"] for i in (3, 4, 5, 6, 7))
+    assert media.probe_columns(df.limit(0)).count() == 0
+
+
+def test_digests_of_odd_rows(spark, odd, none):
+    got = media.digests(odd).collect()
+    want = []
+    for r in odd.collect():
+        b = (r["text"] or "").encode()
+        p = b + b" " * (-len(b) % 192 if b else 192)
+        want.append((r["doc_id"], len(b), len(p), sha256(p).hexdigest(), zlib.crc32(p[-16:])))
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == sorted(want, key=repr)
+    assert media.digests(none).count() == 0
+    packed = media.pack_texts(odd)
+    assert packed.columns == [*odd.columns, "_media"]
+    assert media.probe_columns(packed, "_media").filter("error is not null").count() == 0
