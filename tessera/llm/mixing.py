@@ -40,12 +40,9 @@ def rates(docs: DataFrame, source_col: str = "source", text_col: str = "text", w
         other = F.raise_error(F.concat(F.lit("no weight for source "), "source_key")).cast("double") if rest is None else F.lit(float(rest))
         weight = F.coalesce(given[F.col("source_key")], other)
     sums = sources.select("source_key", "size", weight.alias("weight"))
-    total = sums.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight")).withColumn("one", F.lit(1))
-    return (
-        sums.withColumn("one", F.lit(1))
-        .join(F.broadcast(total), "one")
-        .select("source_key", F.when(F.col("weight") > 0, F.lit(float(epochs)) * F.col("weight") / F.col("all_weight") * F.col("all_size") / F.col("size")).otherwise(F.lit(0.0)).alias("rate"))
-    )
+    all_size, all_weight = sums.agg(F.sum("size")).scalar(), sums.agg(F.sum("weight")).scalar()
+    rate = F.lit(float(epochs)) * F.col("weight") / all_weight * all_size / F.col("size")
+    return sums.select("source_key", F.when(F.col("weight") > 0, rate).otherwise(F.lit(0.0)).alias("rate"))
 
 
 def poisson_tables(rates: DataFrame) -> DataFrame:

@@ -162,7 +162,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
-def _strength(sites: DataFrame, mean: str, upper: str) -> DataFrame:
+def _strength(sites: DataFrame, mean: str, upper: str) -> Column:
     """Prior strength by moments: how many documents the upper level's mean counts for at a site of the lower.
 
     With p (1 - p) as the variance within and the variance of site means around the upper mean less its
@@ -172,7 +172,7 @@ def _strength(sites: DataFrame, mean: str, upper: str) -> DataFrame:
     spread = F.sum(F.col("n") * F.pow(F.col(mean) - F.col(upper), 2)) / F.sum("n")
     noise = F.sum(F.col(upper) * (1 - F.col(upper))) / F.sum("n")
     between = F.greatest(spread - noise, F.lit(1e-9))
-    return sites.agg(F.least(F.lit(1000.0), F.greatest(F.lit(1.0), within / between)).alias("strength"))
+    return sites.agg(F.least(F.lit(1000.0), F.greatest(F.lit(1.0), within / between))).scalar()
 
 
 def sites(scored: DataFrame, host: Column, path: Column, p_col: str = "p_text") -> DataFrame:
@@ -183,13 +183,13 @@ def sites(scored: DataFrame, host: Column, path: Column, p_col: str = "p_text")
     paths = scored.groupBy(key_text(host).alias("__host"), key_text(path).alias("__path")).agg(F.count("*").alias("n"), F.sum(p_col).alias("p_sum"))
     paths = stored(paths, "quality-paths")
     hosts = paths.groupBy("__host").agg(F.sum("n").alias("host_n"), F.sum("p_sum").alias("host_sum"))
-    whole = hosts.agg((F.sum("host_sum") / F.sum("host_n")).alias("global_mean")).withColumn("__one", F.lit(1))
-    hosts = hosts.withColumn("__one", F.lit(1)).join(F.broadcast(whole), "__one")
-    by_host = _strength(hosts.select(F.col("host_n").alias("n"), (F.col("host_sum") / F.col("host_n")).alias("m"), "global_mean"), "m", "global_mean").select(F.col("strength").alias("host_strength"), F.lit(1).alias("__one"))
-    hosts = hosts.join(F.broadcast(by_host), "__one").withColumn("host_mean", (F.col("host_strength") * F.col("global_mean") + F.col("host_sum")) / (F.col("host_strength") + F.col("host_n")))
+    hosts = hosts.withColumn("global_mean", hosts.agg(F.sum("host_sum") / F.sum("host_n")).scalar())
+    by_host = _strength(hosts.select(F.col("host_n").alias("n"), (F.col("host_sum") / F.col("host_n")).alias("m"), "global_mean"), "m", "global_mean")
+    hosts = hosts.withColumn("host_strength", by_host)
+    hosts = hosts.withColumn("host_mean", (F.col("host_strength") * F.col("global_mean") + F.col("host_sum")) / (F.col("host_strength") + F.col("host_n")))
     both = paths.join(hosts, "__host")
-    by_path = _strength(both.select("n", (F.col("p_sum") / F.col("n")).alias("m"), "host_mean"), "m", "host_mean").select(F.col("strength").alias("path_strength"), F.lit(1).alias("__one"))
-    return stored(both.join(F.broadcast(by_path), "__one").drop("__one", "host_mean"), "quality-sites")
+    by_path = _strength(both.select("n", (F.col("p_sum") / F.col("n")).alias("m"), "host_mean"), "m", "host_mean")
+    return stored(both.withColumn("path_strength", by_path).drop("host_mean"), "quality-sites")
 
 
 def combine(scored: DataFrame, site_table: DataFrame, host: Column, path: Column, p_col: str = "p_text", site_weight: float = SITE_WEIGHT) -> DataFrame:

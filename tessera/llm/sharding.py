@@ -47,8 +47,7 @@ def interleave(docs: DataFrame, n_shards: int, source_col: str = "source", id_co
     spread = _range_counts(sizes)
     order = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     ahead = spread.select("__range", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__ahead"))
-    total = sizes.agg(F.sum("__size").alias("__all"))
-    ahead = F.broadcast(ahead.withColumn("__one", F.lit(1)).join(F.broadcast(total.withColumn("__one", F.lit(1))), "__one").drop("__one"))  # at most BUCKETS rows
+    ahead = F.broadcast(ahead.withColumn("__all", sizes.agg(F.sum("__size")).scalar()))  # at most BUCKETS rows
 
     place = F.row_number().over(Window.partitionBy("__range").orderBy("__frac", "__source")) - 1 + F.col("__ahead")
     placed = ranked.join(ahead, "__range").withColumn("__place", place)
