@@ -68,7 +68,7 @@ def _after_groups(rows: DataFrame, group: str, name: str) -> DataFrame:
 
 def canonical_categories(categories: DataFrame, export: str, category: str, label: str) -> DataFrame:
     """(export, category, canonical id) by the label's id in the first export; labels that it lacks are an error."""
-    first = categories.join(categories.agg(F.min(export).alias("__first")).hint("broadcast"), F.col(export) == F.col("__first")).select(F.col(label).alias("__label"), F.col(category).alias("canonical_id"))
+    first = categories.filter(F.col(export) == categories.agg(F.min(export)).scalar()).select(F.col(label).alias("__label"), F.col(category).alias("canonical_id"))
     joined = categories.join(first, F.col(label) == F.col("__label"), "left")
     return joined.select(export, category, F.coalesce("canonical_id", F.raise_error(F.concat(F.lit("not in the first export: "), F.col(label))).cast("long")).alias("canonical_id"))
 

@@ -37,11 +37,9 @@ def pool(partials: DataFrame, group: str, noise: Column | None = None) -> DataFr
 def moved(rows: DataFrame, group: str, value: str, source: str, target: str, name: str = "moved") -> DataFrame:
     """The source group's values with the target group's mean and deviation."""
     stats = rows.filter(F.col(group).isin(source, target)).groupBy(group).agg(F.avg(value).alias("m"), (F.stddev_pop(value) + EPSILON).alias("s"))
-    own = stats.filter(F.col(group) == source).select(F.col("m").alias("__m"), F.col("s").alias("__s"), F.lit(1).alias("__one"))
-    other = stats.filter(F.col(group) == target).select(F.col("m").alias("__tm"), F.col("s").alias("__ts"), F.lit(1).alias("__one"))
-    both = F.broadcast(own.join(other, "__one"))  # one row
-    picked = rows.filter(F.col(group) == source).withColumn("__one", F.lit(1)).join(both, "__one")
-    return picked.withColumn(name, transfer(F.col(value), F.col("__m"), F.col("__s"), F.col("__tm"), F.col("__ts"))).drop("__one", "__m", "__s", "__tm", "__ts")
+    of = lambda which, column: stats.filter(F.col(group) == which).select(column).scalar()
+    out = transfer(F.col(value), of(source, "m"), of(source, "s"), of(target, "m"), of(target, "s"))
+    return rows.filter(F.col(group) == source).withColumn(name, out)
 
 
 def with_pool(rows: DataFrame, group_of: DataFrame, pools: DataFrame, key: str, group: str) -> DataFrame:
