@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import stored
+from tessera.llm.common import drawn, stored
 
 SAMPLE = 20_000
 #: Threshold of the score-aware loss: queries count whose cosine with a vector is at least this.
@@ -186,7 +186,7 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
 
 def fit(rows: DataFrame, sample: int = SAMPLE) -> Codebook | None:
     """A codebook from at most `sample` of the usable rows, drawn by the hash of the id; None if there are none."""
-    got = rows.orderBy(F.xxhash64(F.col("id")), "id").limit(sample).select("v").toPandas()["v"]
+    got = drawn(rows, F.col("id"), sample).select("v").toPandas()["v"]
     return train(np.stack([np.asarray(x, np.float64) for x in got])) if len(got) else None
 
 

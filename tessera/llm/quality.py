@@ -30,14 +30,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import join_small, key_text, stored, unused
+from tessera.llm.common import drawn, join_small, key_text, stored, unused
 
 #: Labelled rows that the classifier may be fitted to, and words that its lexicon may have.
 SAMPLE, LEXICON = 6_000, 2_000
 #: Documents of the sample that a lexicon word must be in.
 WORD_ROWS = 8
 SITE_WEIGHT = 0.25
-THRESHOLD = 0.5
+#: A document is rejected when it is over three times as likely bad as good: losing clean text costs more.
+THRESHOLD = 0.25
 _EDGE = re.compile(rb"^[^\w\x80-\xff]+|[^\w\x80-\xff]+$")
 _MARKS = (b"!!", b"***", b"$$$", b"%%%", b"&&&", b"###", b" | ", b"...", b"http", b"\n")
 
@@ -88,10 +89,9 @@ _PLAIN = bytes(b for b in range(256) if b >= 128 or chr(b).isalnum() or chr(b).i
 
 
 def _sample(docs: DataFrame, labels: DataFrame, good: Column, id_col: str, rows: int) -> DataFrame:
-    """(good, text) of at most `rows` labelled documents, drawn by the md5 of the id."""
+    """(good, text) of at most `rows` labelled documents, drawn by the hash of the id."""
     chosen = labels.select(F.col(id_col), good.cast("int").alias("__good")).filter(F.col("__good").isNotNull() & F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    chosen = chosen.orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(rows)
-    return docs.join(F.broadcast(chosen), id_col)
+    return docs.join(F.broadcast(drawn(chosen, F.col(id_col), rows)), id_col)
 
 
 def fit(docs: DataFrame, labels: DataFrame, good: Column, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE) -> Model:
