@@ -9,9 +9,9 @@ it is about, a role and a text:
     regenerate  drops the text; it and the deltas after it make the new one
     delete      removes the message, unless a later event opens it again
 
-Events are gathered by message first, so a long conversation meets in one place only as rendered turns. One
-conversation is one value of the result, and its digests need all of it in order, so that last step can't be
-split further.
+Logs are partitioned by conversation once; messages are folded and turns joined within that partitioning, so
+texts are shuffled once. One conversation is one value of the result, and its digests need all of it in
+order, so a conversation can't be split further; the sort by sequence spills.
 
 The template renders a turn as OPEN role SEP text CLOSE. A control string inside a role or text gets a
 backslash after its first character, and such forms with backslashes get one more, so the escape can be undone
@@ -46,7 +46,7 @@ def unescape(text: Column) -> Column:
 
 def as_events(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """A table of whole turns as an event log: one `message` event for each row, equal turns told apart by `copy`."""
-    return turns.select(
+    return turns.repartition(conv).select(
         F.col(conv).alias("conv"),
         F.struct(F.col(turn).alias("turn"), F.row_number().over(Window.partitionBy(conv, turn).orderBy(role, text)).alias("copy")).alias("message"),
         F.col(turn).alias("seq"),
@@ -56,6 +56,11 @@ def as_events(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     )
 
 
+def by_conversation(events: DataFrame) -> DataFrame:
+    """An event log partitioned by conversation, as as_events() gives it; fold() and render() then need no further shuffle."""
+    return events.repartition("conv")
+
+
 def fold(events: DataFrame) -> DataFrame:
     """Final messages (conv, message, seq, role, text) of an event log (conv, message, seq, kind, role, text).
 

@@ -72,4 +72,7 @@ def test_streams_are_rendered_in_order(spark):
 def test_no_python_runs(spark):
     df = spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
     plan = chat.digests(chat.format_turns(df))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+    plan += chat.digests(chat.render(chat.fold(chat.by_conversation(log(spark, ("a", 1, "message", "user", "x"))))))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 2
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
