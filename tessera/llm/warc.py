@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import fresh_dir, join_small, stored
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
-#: Payload bytes in a package, and in the ranges that one task reads at least.
+#: Payload bytes in a package, and package bytes that one task reads, about.
 PACKAGE_BYTES, RANGE_BYTES = 256 << 20, 16 << 20
 #: Payload bytes in a batch that a reader hands over.
 _BATCH_BYTES = 8 << 20
@@ -240,6 +240,12 @@ def _ranged(path: str):
     return (lambda offset, n: f.read_at(n, offset)), f.size(), f
 
 
+def _tasks(packages: DataFrame) -> int:
+    """How many tasks read the packages: one for each RANGE_BYTES."""
+    n = packages.agg(F.sum("n_bytes") if "n_bytes" in packages.columns else F.count("*") * PACKAGE_BYTES).first()[0] or 0
+    return 1 + n // RANGE_BYTES
+
+
 def ranges(packages: DataFrame, path_col: str = "path") -> DataFrame:
     """(path, offset, length) of every record: bytes of the package, by its directory and index."""
 
@@ -254,14 +260,14 @@ def ranges(packages: DataFrame, path_col: str = "path") -> DataFrame:
                 out = [pa.array([path] * len(lines), pa.string()), pa.array([start + x["offset"] for x in lines], pa.int64()), pa.array([x["length"] for x in lines], pa.int64())]
                 yield pa.RecordBatch.from_arrays(out, names=["path", "offset", "length"])
 
-    # One row for each package: dealt out, as a few files of small rows would else be one task.
-    return packages.select(path_col).repartition(path_col).mapInArrow(run, "path string, offset long, length long")
+    # Rows are small and what they stand for is not, so the number of tasks follows the packages, not the rows' bytes.
+    return packages.select(path_col).repartition(_tasks(packages), path_col).mapInArrow(run, "path string, offset long, length long")
 
 
 def read(packages: DataFrame, path_col: str = "path", payloads: bool = True) -> DataFrame:
     """All records of the packages: page_id, url, record_type, payload_bytes, payload_digest, refers_to and, if wanted, payload (null in revisits)."""
     chunks = ranges(packages, path_col).withColumn("chunk", F.floor(F.col("offset") / RANGE_BYTES))
-    chunks = chunks.repartition("path", "chunk").sortWithinPartitions("path", "offset").drop("chunk")
+    chunks = chunks.repartition(_tasks(packages), "path", "chunk").sortWithinPartitions("path", "offset").drop("chunk")
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())]
     fields += [("payload", pa.binary())] if payloads else []
 
