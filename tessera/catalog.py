@@ -286,6 +286,18 @@ def setup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", key.alias("setup"), strings.static_group(key).alias("source_group"))
 
 
+@query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY md5('0:' || event_id), event_id) AS r FROM events) WHERE r <= 4")
+def review_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.random_n(table(spark, sf_dir, "events").select("user_id", "event_id"), ["user_id"], "event_id", 4)
+
+
+@query("SELECT event_id, ['screw_1', 'screw_2', 'nut_1'][1 + CAST('0x' || substr(md5('42:p:' || event_id), 1, 7) AS BIGINT) % 3] AS pick FROM events")
+def random_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.array(*[F.lit(n) for n in ("screw_1", "screw_2", "nut_1")])
+    draw = numbers.draw_int(F.lit(SEED), F.lit("p"), F.col("event_id"))
+    return table(spark, sf_dir, "events").select("event_id", numbers.pick(names, draw).alias("pick"))
+
+
 # --- files ------------------------------------------------------------------------------------------------------
 
 

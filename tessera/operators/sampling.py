@@ -73,6 +73,12 @@ def topic_choice(topics: DataFrame, by: list[str], topic_id: str, topic_name: st
     return pick_first(topics.withColumn("__rank", rank).filter(F.col("__rank").isNotNull()), by, ["__rank", topic_id]).drop("__rank")
 
 
+def random_n(rows: DataFrame, by: list[str], key: str, n: int, seed: int = 0) -> DataFrame:
+    """n rows of each group without replacement, in the order of a hash of seed and key; the rest is dropped before any group is gathered whole."""
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key))
+    return rows.withColumn("__r", place).filter(F.col("__r") <= n).drop("__r")
+
+
 def pick_first(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """The first row of each group; partial minima move, not the groups."""
     rest = [c for c in df.columns if c not in by]

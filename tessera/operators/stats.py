@@ -34,6 +34,22 @@ def pool(partials: DataFrame, group: str, noise: Column | None = None) -> DataFr
     return sums.select(group, mean.alias("mean"), (F.sqrt(F.greatest(F.lit(0.0), spread)) + EPSILON).alias("std"), "noise", "n_pixels", "n_images")
 
 
+def lab_pool(partials: DataFrame, group: str, partial: str = "p", channels: int = 3) -> DataFrame:
+    """Pools of three-channel partials (n, s, inner, noise) of images: lab_mean, lab_std, lap_noise, n_pixels, n_stems.
+
+    n_stems counts the images listed, those without a partial too; a group without any has null statistics.
+    """
+    p = F.col(partial)
+    aggs = [F.sum(p["n"]).alias("n"), F.avg(p["noise"]).alias("lap_noise"), F.count("*").alias("n_stems")]
+    for c in range(channels):
+        s, inner = p["s"][c], p["inner"][c]
+        aggs += [F.sum(s).alias(f"s{c}"), F.sum(inner).alias(f"i{c}"), F.sum(s * s / p["n"]).alias(f"m{c}")]
+    sums = partials.groupBy(group).agg(*aggs)
+    mean = [F.col(f"s{c}") / F.col("n") for c in range(channels)]
+    std = [F.sqrt(F.greatest(F.lit(0.0), (F.col(f"i{c}") + F.col(f"m{c}")) / F.col("n") - mean[c] * mean[c])) + EPSILON for c in range(channels)]
+    return sums.select(group, F.array(*mean).alias("lab_mean"), F.array(*std).alias("lab_std"), "lap_noise", F.coalesce("n", F.lit(0)).alias("n_pixels"), "n_stems")
+
+
 def moved(rows: DataFrame, group: str, value: str, source: str, target: str, name: str = "moved") -> DataFrame:
     """The source group's values with the target group's mean and deviation."""
     stats = rows.filter(F.col(group).isin(source, target)).groupBy(group).agg(F.avg(value).alias("m"), (F.stddev_pop(value) + EPSILON).alias("s"))
