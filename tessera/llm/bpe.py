@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from tessera.llm.common import unused
 
 MAX_FILE = 64 << 20
-#: Words whose tokens a worker remembers, and the longest that it remembers.
-CACHE, CACHE_WORD = 200_000, 64
+#: Words in each of the two generations that a worker remembers, and the longest that it remembers.
+CACHE, CACHE_WORD = 250_000, 64
 #: The public pattern of byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -59,6 +59,7 @@ class Bpe:
         by_length = sorted(self.special, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")").split if by_length else lambda text: [text]
         self.known: dict[str, tuple[list[int], str]] = {}
+        self.older: dict[str, tuple[list[int], str]] = {}
 
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one word. The queue holds (rank, place of the left symbol, right id seen); stale entries are skipped."""
@@ -86,11 +87,13 @@ class Bpe:
         """Ids of one word, and the same as decimals joined by commas."""
         found = self.known.get(text)
         if found is None:
-            ids = self.merge(text.encode())
-            found = ids, ",".join(map(str, ids))
+            found = self.older.get(text)
+            if found is None:
+                ids = self.merge(text.encode())
+                found = ids, ",".join(map(str, ids))
             if len(text) <= CACHE_WORD:
                 if len(self.known) >= CACHE:
-                    self.known.clear()
+                    self.older, self.known = self.known, {}
                 self.known[text] = found
         return found
 
