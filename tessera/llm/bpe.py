@@ -97,19 +97,27 @@ class Bpe:
                 self.known[text] = found
         return found
 
-    def _pieces(self, text: str) -> Iterator[tuple[list[int], str]]:
-        for k, part in enumerate(self.specials(text) if self.special else [text]):
+    def _pieces(self, text: str) -> list[tuple[list[int], str]]:
+        """What word() gives for each word and special token of a text."""
+        out, known = [], self.known
+        parts = self.specials(text) if any(s in text for s in self.special) else [text]
+        for k, part in enumerate(parts):
             if k % 2:
-                yield [self.special[part]], str(self.special[part])
-            elif part:
-                yield from map(self.word, self.words(part))
+                out.append(([self.special[part]], str(self.special[part])))
+                continue
+            for w in self.words(part):
+                found = known.get(w)
+                if found is None:
+                    found, known = self.word(w), self.known
+                out.append(found)
+        return out
 
     def encode(self, text: str) -> list[int]:
         return [i for ids, _ in self._pieces(text) for i in ids]
 
     def encode_with_decimals(self, text: str) -> tuple[list[int], str]:
         """Ids, and the ids as decimals joined by commas."""
-        pieces = list(self._pieces(text))
+        pieces = self._pieces(text)
         return [i for ids, _ in pieces for i in ids], ",".join([s for _, s in pieces])
 
     def decode(self, ids: list[int]) -> str:
