@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 MODES = ("overwrite", "ignore", "error")
 
