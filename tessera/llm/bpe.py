@@ -19,7 +19,6 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import unused
