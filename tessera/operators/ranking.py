@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BUCKETS = 1024
+#: Most buckets, and rows in one while there are fewer.
+BUCKETS, BUCKET_ROWS = 1024, 250_000
 
 
 def hash_number(*cols: Column) -> Column:
@@ -18,14 +19,20 @@ def hash_bucket(number: Column, buckets: int = BUCKETS) -> Column:
     return F.floor(number / F.lit(2**52 // buckets))
 
 
-def range_bucket(df: DataFrame, column: Column, buckets: int = BUCKETS) -> Column:
-    """A bucket by ranges of a numeric column, for about equal numbers of rows; at most `buckets` bounds reach the driver."""
+def range_bucket(df: DataFrame, column: Column, buckets: int = BUCKETS, rows: int = BUCKET_ROWS) -> Column:
+    """A bucket by ranges of a numeric column, of about `rows` rows, or more beyond `buckets`; only bounds reach the driver."""
     at = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = df.agg(F.percentile_approx(column, at, F.lit(4 * buckets))).first()[0] or []
-    bounds = sorted(set(bounds))
+    n, bounds = df.agg(F.count("*"), F.percentile_approx(column, at, F.lit(4 * buckets))).first()
+    wanted = min(buckets, n // rows + 1)
+    return _bisected(column, sorted({bounds[i * buckets // wanted - 1] for i in range(1, wanted)} if bounds else []))
+
+
+def _bisected(column: Column, bounds: list, below: int = 0) -> Column:
+    """How many of the sorted bounds lie under the value, by halving; 0 for null, which sorts first."""
     if not bounds:
-        return F.lit(0).cast("long")
-    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < column)).cast("long")
+        return F.lit(below).cast("long")
+    mid = len(bounds) // 2
+    return F.when(column > bounds[mid], _bisected(column, bounds[mid + 1 :], below + mid + 1)).otherwise(_bisected(column, bounds[:mid], below))
 
 
 def ranked(df: DataFrame, order: list[Column | str], bucket: Column, name: str, group: tuple[str, ...] = (), size: str | None = None) -> DataFrame:

@@ -147,6 +147,9 @@ def test_ranks_equal_a_plain_sort_with_groups_and_nulls(spark):
         assert sorted(x["r"] for x in own) == list(range(1, len(own) + 1)) and {x["n"] for x in own} == {len(own)}
     whole = annotations.renumber(df, ["k"], "id").collect()
     assert all(x["id"] == x["k"] + 1 for x in whole)
+    cut = ranking.ranked(df, [F.col("k")], ranking.range_bucket(df, F.col("k").cast("double"), 16, 40), "r").collect()
+    assert all(x["r"] == x["k"] + 1 for x in cut)
+    assert df.select(ranking.range_bucket(df, F.col("k").cast("double"), 16, 40).alias("b")).distinct().count() == 13
 
 
 @pytest.mark.parametrize(("n", "want"), [(50, (34, 8, 8)), (101, (71, 15, 15)), (200, (140, 30, 30))])
