@@ -8,8 +8,9 @@ centroids are improved in turn, one subspace at a time with the others held, whi
 Index: every row is encoded, two four-bit codes to a byte, and dealt into blocks by the hash of its id, so that equal
 vectors spread. Search: the stated queries, in blocks, meet every block of rows. For a pair of blocks
 the queries' table of inner products with all centroids is scanned by the codes; the RERANK best of each query are
-scored exactly in double precision, and the best k go on to one merge by query. Ties go to the smaller id,
-in the scan too, so equal vectors lose none of the smallest ids.
+scored exactly in double precision, and the best k go on to one merge by query. Rows of a block with equal codes are
+scanned as one and scored exactly all together: however many copies or close neighbours share a code, they crowd
+nothing out and none is left out. Ties go to the smaller id.
 
 Edge cases. Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows
 without an id or with another length than the most common one (of those, the longest). A row that repeats is a candidate
@@ -187,7 +188,15 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
 def fit(rows: DataFrame, sample: int = SAMPLE) -> Codebook | None:
     """A codebook from at most `sample` of the usable rows, drawn by the hash of the id; None if there are none."""
     got = drawn(rows, F.col("id"), sample).select("v").toPandas()["v"]
-    return train(np.stack([np.asarray(x, np.float64) for x in got])) if len(got) else None
+    return train(np.unique(np.stack([np.asarray(x, np.float64) for x in got]), axis=0)) if len(got) else None
+
+
+def classes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Equal rows: the first of each class in order of appearance, and the rows by class with each class's start and size."""
+    _, first, of = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_index=True, return_inverse=True)
+    rank = np.argsort(np.argsort(first))
+    members, size = np.argsort(rank[of], kind="stable"), np.bincount(rank[of], minlength=len(first))
+    return np.sort(first), members, np.cumsum(size) - size, size
 
 
 def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, rerank: int = RERANK, row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -221,11 +230,20 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col
         ids, q_ids = left["id"].to_numpy(), right["id"].to_numpy()
         x, q = (_matrix(t["v"].combine_chunks(), dim) for t in (left, right))
         codes = np.frombuffer(b"".join(left["codes"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        query, row = scan(q, codes, book, rerank + 1)
-        other = ids[row] != q_ids[query]
-        query, row = query[other], row[other]
-        exact = np.concatenate([np.zeros(0), *((q[query[i : i + _CHUNK]] * x[row[i : i + _CHUNK]]).sum(axis=1) for i in range(0, len(query), _CHUNK))])
-        query, row, exact = _best(query, row, exact, k)
+        first, members, start, size = classes(codes)
+        out = []
+        for a in range(0, len(q), _QUERIES):
+            part, own = q[a : a + _QUERIES], q_ids[a : a + _QUERIES]
+            query, found = scan(part, codes[first], book, rerank)
+            n = size[found]
+            row = members[np.repeat(start[found] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            query = np.repeat(query, n)
+            other = ids[row] != own[query]
+            query, row = query[other], row[other]
+            exact = np.concatenate([np.zeros(0), *((part[query[i : i + _CHUNK]] * x[row[i : i + _CHUNK]]).sum(axis=1) for i in range(0, len(query), _CHUNK))])
+            query, row, exact = _best(query, row, exact, k)
+            out.append((query + a, row, exact))
+        query, row, exact = (np.concatenate(c) for c in zip(*out, strict=True))
         return pa.Table.from_arrays([pa.array(q_ids[query]), pa.array(ids[row]), pa.array(exact)], schema=_FOUND)
 
     found = queries.select("id", "v", "row_block", "query_block").groupBy("row_block", "query_block")

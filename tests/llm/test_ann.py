@@ -89,6 +89,22 @@ def test_equal_vectors_keep_the_smallest_ids(spark):
         assert sorted(r["vec_id"] for r in got if r["query_id"] == q) == [i for i in range(21) if i != q][:20]
 
 
+def test_classes_of_equal_rows():
+    x = np.array([[3.0, 1], [1, 1], [3, 1], [0, 2], [1, 1], [1, 1]])
+    first, members, start, size = ann.classes(x)
+    assert first.tolist() == [0, 1, 3] and members.tolist() == [0, 2, 1, 4, 5, 3] and start.tolist() == [0, 2, 5] and size.tolist() == [2, 3, 1]
+
+
+def test_many_copies_crowd_nothing_out(spark, vectors):
+    x = np.concatenate([vectors[:600], np.repeat(vectors[:1] * 1.5, 2000, axis=0)])
+    order = np.random.default_rng(1).permutation(len(x))
+    x, ids = x[order], list(range(len(x)))
+    got = ann.search(frame(spark, ids, x), F.col("id") % 20 == 0, rerank=100).collect()
+    want = truth(ids, x, ids[::20])
+    found = {(r["query_id"], r["vec_id"]) for r in got}
+    assert len(found & {(q, i) for q, v in want.items() for i in v}) > 0.97 * 20 * len(want)
+
+
 def test_odd_vectors(spark):
     good = [(i, [float(i % 7 + 1), 1.0, -2.0]) for i in range(30)]
     bad = [(40, None), (60, []), (80, [0.0, 0.0, 0.0]), (100, [1.0, None, 2.0]), (120, [1.0, math.nan, 2.0]), (140, [1.0, math.inf, 2.0]), (160, [1.0, 2.0]), (None, [1.0, 2.0, 3.0])]
