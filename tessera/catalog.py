@@ -195,9 +195,13 @@ def merge_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotations.merged(parts, ["id"]).select("export_no", "id", "name", "new_id")
 
 
-@query("SELECT c_nationkey::BIGINT AS export_no, m.id AS category, f.id AS canonical_id FROM (SELECT DISTINCT c_nationkey, c_mktsegment, c_nationkey * 100 + ascii(c_mktsegment) AS id FROM customer) m JOIN (SELECT DISTINCT c_mktsegment, c_nationkey * 100 + ascii(c_mktsegment) AS id FROM customer WHERE c_nationkey = 0) f USING (c_mktsegment)")
+@query(
+    """WITH m AS (SELECT DISTINCT c_nationkey % 3 AS export_no, c_mktsegment, c_nationkey % 3 * 100 + ascii(c_mktsegment) AS id FROM customer)
+SELECT m.export_no::BIGINT AS export_no, m.id::BIGINT AS category, f.id::BIGINT AS canonical_id FROM m JOIN m f ON f.export_no = 0 AND f.c_mktsegment = m.c_mktsegment"""
+)
 def canonical_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("export_no"), F.col("c_mktsegment").alias("label"), (F.col("c_nationkey") * 100 + F.ascii("c_mktsegment")).cast("long").alias("category")).distinct()
+    export = F.col("c_nationkey") % 3
+    found = table(spark, sf_dir, "customer").select(export.cast("long").alias("export_no"), F.col("c_mktsegment").alias("label"), (export * 100 + F.ascii("c_mktsegment")).cast("long").alias("category")).distinct()
     return annotations.canonical_categories(found, "export_no", "category", "label")
 
 
