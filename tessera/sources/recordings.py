@@ -20,6 +20,8 @@ from tessera.sources.files import recording_format
 
 MESSAGES = "topic_id int, topic string, type string, timestamp_ns bigint, data binary"
 ENCODINGS = {"rgb8": (3, "rgb"), "bgr8": (3, "bgr"), "rgba8": (4, "rgb"), "bgra8": (4, "bgr"), "mono8": (1, "mono")}
+#: Alignment of numbers, and closing bytes of a text, in the messages of a format.
+LAYOUTS = {"rosbag2": (4, 1), "rosbag1": (1, 0)}
 
 
 class Range(InputPartition):
@@ -161,13 +163,18 @@ def read_recording(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format(recording_format(path)).load(path)
 
 
-def decode_image(data: bytes | None) -> dict | None:
-    """Height, width and BGR bytes of a serialised image message in little-endian CDR; null if it can't be decoded."""
+def decode_image(data: bytes | None, recording: str = "rosbag2") -> dict | None:
+    """Height, width and BGR bytes of a serialised image message, laid out as its recording's format says; null if it can't be decoded.
+
+    rosbag2 has little-endian CDR: an encapsulation, fields aligned to four bytes, texts with a closing NUL. rosbag1 has a
+    sequence number in place of the encapsulation, no padding and no NUL.
+    """
+    align, nul = LAYOUTS[recording]
     try:
-        at = 4 + 8  # encapsulation, time stamp
+        at = 4 + 8  # encapsulation or sequence number, time stamp
 
         def number(at: int) -> tuple[int, int]:
-            at += -(at - 4) % 4
+            at += -(at - 4) % align
             return struct.unpack_from("<I", data, at)[0], at + 4
 
         n, at = number(at)
@@ -175,7 +182,7 @@ def decode_image(data: bytes | None) -> dict | None:
         height, at = number(at)
         width, at = number(at)
         n, at = number(at)
-        encoding, at = data[at : at + n - 1].decode(), at + n
+        encoding, at = data[at : at + n - nul].decode(), at + n
         at += 1  # byte order of wider samples
         step, at = number(at)
         n, at = number(at)
@@ -190,11 +197,16 @@ def decode_image(data: bytes | None) -> dict | None:
 _IMAGE = pa.struct([("height", pa.int32()), ("width", pa.int32()), ("data", pa.binary())])
 
 
-def with_images(messages: DataFrame, data: str = "data", name: str = "image") -> DataFrame:
-    """messages whose image can be decoded, with it; do this before sampling, as such messages don't take a slot."""
+def with_images(messages: DataFrame, data: str = "data", name: str = "image", recording: str = "rosbag2") -> DataFrame:
+    """messages whose image can be decoded, with it; do this before sampling, as others don't take a slot.
+
+    recording is the format that the messages come from, as recording_format(path) gives it.
+    """
+    if recording not in LAYOUTS:
+        raise ValueError(f"no format of recordings: {recording}")
 
     @F.arrow_udf("height int, width int, data binary")
     def decoded(column: pa.Array) -> pa.Array:
-        return pa.array([decode_image(x.as_py()) for x in column], _IMAGE)
+        return pa.array([decode_image(x.as_py(), recording) for x in column], _IMAGE)
 
     return messages.withColumn(name, decoded(data)).filter(F.col(name).isNotNull())

@@ -86,6 +86,30 @@ def test_bag(spark, tmp_path):
     assert [(r["topic"], r["type"], r["timestamp_ns"], bytes(r["data"])) for r in got] == [("/c", "Image", 2_000_000_005, b"abc")]
 
 
+def test_images_of_a_bag(spark, tmp_path):
+    def header(**kv):
+        h = b"".join(struct.pack("<I", len(k) + 1 + len(v)) + k.encode() + b"=" + v for k, v in kv.items())
+        return struct.pack("<I", len(h)) + h
+
+    def record(data, **kv):
+        return header(**kv) + struct.pack("<I", len(data)) + data
+
+    def image(seq, encoding, step, pixels):
+        text = lambda s: struct.pack("<I", len(s)) + s
+        return struct.pack("<III", seq, 1, 2) + text(b"camera") + struct.pack("<II", 1, 2) + text(encoding) + b"\0" + struct.pack("<I", step) + text(pixels)
+
+    conn = struct.pack("<I", 0)
+    sent = [image(256, b"rgb8", 6, bytes([1, 2, 3, 4, 5, 6])), image(1, b"mono8", 2, b"\7\10"), b"broken"]
+    chunk = record(header(topic=b"/c", type=b"sensor_msgs/Image")[4:], op=b"\7", conn=conn, topic=b"/c")
+    chunk += b"".join(record(m, op=b"\2", conn=conn, time=struct.pack("<II", k, 0)) for k, m in enumerate(sent))
+    path = str(tmp_path / "i.bag")
+    (tmp_path / "i.bag").write_bytes(b"#ROSBAG V2.0\n" + record(chunk, op=b"\5", compression=b"none", size=conn))
+    got = recordings.with_images(recordings.read_recording(spark, path), recording=found.recording_format(path)).orderBy("timestamp_ns").collect()
+    assert [(r["image"]["height"], r["image"]["width"], bytes(r["image"]["data"])) for r in got] == [(1, 2, bytes([3, 2, 1, 6, 5, 4])), (1, 2, bytes([7, 7, 7, 8, 8, 8]))]
+    with pytest.raises(ValueError):
+        recordings.with_images(got, recording="mp4")
+
+
 def test_formats_and_paths(tmp_path):
     assert found.recording_format("a/B.BAG") == "rosbag1"
     with pytest.raises(ValueError):
