@@ -1,11 +1,12 @@
 """Media columns: ISO base media containers read by their boxes, payloads left undecoded.
 
-`walk` yields the nested boxes of a container, `probe` decodes the first track's sample tables: codec,
-duration, and the byte ranges of samples and keyframes. Both read through a function of offset and length, so only
+`walk` yields the nested boxes of a container, `probe_tracks` decodes each track's own sample tables: codec,
+duration, and the byte ranges of samples and keyframes; `probe` gives the first track. All read through a function of offset and length, so only
 the boxes' headers and tables are touched. `pack` writes a container around raw 8-bit samples.
 
 Edge cases. Null text counts as empty. A payload is never empty: it is padded with blanks to a positive multiple
-of BLOCK. Bytes that aren't a readable container give nulls and an `error`; a null container gives nulls.
+of BLOCK. Bytes that aren't a readable container give nulls and an `error`, and so do fragmented files (moof), whose
+samples lie outside the tables; a null container gives nulls. A track that can't be read has its own error in `tracks`.
 Repeated rows and null ids stay. An empty table gives no rows. Other columns are ignored by digests() and
 kept by probe_columns().
 """
@@ -89,10 +90,38 @@ def _table(read: Read, box: Box, head: str, row: str) -> tuple[tuple, np.ndarray
 
 
 def probe(read: Read, size: int) -> Track:
-    """The first track of a container of so many bytes, by its sample tables alone."""
-    boxes: dict[str, Box] = {}
+    """The first track of a container of so many bytes."""
+    return _first(probe_tracks(read, size))
+
+
+def _first(tracks: list[Track | str]) -> Track:
+    if isinstance(tracks[0], str):
+        raise ValueError(tracks[0])
+    return tracks[0]
+
+
+def probe_tracks(read: Read, size: int) -> list[Track | str]:
+    """Every track of a container of so many bytes, by its own sample tables alone, or why it can't be read."""
+    traks: list[dict[str, Box]] = []
     for box in walk(read, 0, size):
-        boxes.setdefault(box.path.rsplit("/", 1)[1], box)
+        if box.path == "/moof":
+            raise ValueError("fragmented containers can't be read")
+        if box.path == "/moov/trak":
+            traks.append({})
+        elif box.path.startswith("/moov/trak/"):
+            traks[-1].setdefault(box.path.rsplit("/", 1)[1], box)
+    if not traks:
+        raise ValueError("no trak box")
+    out: list[Track | str] = []
+    for boxes in traks:
+        try:
+            out.append(_track(read, size, boxes))
+        except (ValueError, struct.error) as e:
+            out.append(str(e) or "unreadable")
+    return out
+
+
+def _track(read: Read, size: int, boxes: dict[str, Box]) -> Track:
     for need in ("mdhd", "stsd", "stts", "stsc", "stsz"):
         if need not in boxes:
             raise ValueError(f"no {need} box")
@@ -207,7 +236,7 @@ def padded(text: bytes, block: int = BLOCK) -> bytes:
     return text + b" " * (-len(text) % block if text else block)
 
 
-_PROBED = T.StructType(
+_TRACK = T.StructType(
     [
         T.StructField("codec", T.StringType()),
         T.StructField("duration_s", T.DoubleType()),
@@ -216,24 +245,32 @@ _PROBED = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
-_PROBED_ARROW = [pa.string(), pa.float64(), pa.int64(), pa.list_(pa.struct([("offset", pa.int64()), ("size", pa.int64())])), pa.string()]
+_PROBED = T.StructType([*_TRACK, T.StructField("tracks", T.ArrayType(_TRACK))])
+_TRACK_ARROW = [pa.string(), pa.float64(), pa.int64(), pa.list_(pa.struct([("offset", pa.int64()), ("size", pa.int64())])), pa.string()]
+_PROBED_ARROW = [*_TRACK_ARROW, pa.list_(pa.struct([(f.name, t) for f, t in zip(_TRACK, _TRACK_ARROW, strict=True)]))]
 
 
 def probe_columns(media: DataFrame, media_col: str = "media") -> DataFrame:
-    """media with codec, duration_s, n_samples, keyframes (byte ranges) and error of its containers."""
+    """media with codec, duration_s, n_samples, keyframes (byte ranges) and error of its containers' first tracks, and `tracks`, which has these of every track."""
     names = unused(media, *(f.name for f in _PROBED))
     schema = T.StructType([*media.schema.fields, *(T.StructField(n, f.dataType) for n, f in zip(names, _PROBED, strict=True))])
     at = media.columns.index(media_col)
+    fields = _TRACK.fieldNames()
+
+    def entry(t: Track | str) -> tuple:
+        if isinstance(t, str):
+            return None, None, None, None, t
+        ranges = [{"offset": int(t.offsets[k]), "size": int(t.sizes[k])} for k in t.keyframes]
+        return t.codec, t.duration / t.timescale if t.timescale else None, len(t.sizes), ranges, None
 
     def one(data: bytes | None) -> tuple:
         if data is None:
-            return None, None, None, None, None
+            return (None,) * 6
         try:
-            t = probe(reader(data), len(data))
+            entries = [entry(t) for t in probe_tracks(reader(data), len(data))]
         except (ValueError, struct.error) as e:
-            return None, None, None, None, str(e) or "unreadable"
-        ranges = [{"offset": int(t.offsets[k]), "size": int(t.sizes[k])} for k in t.keyframes]
-        return t.codec, t.duration / t.timescale if t.timescale else None, len(t.sizes), ranges, None
+            return None, None, None, None, str(e) or "unreadable", None
+        return *entries[0], [dict(zip(fields, x, strict=True)) for x in entries]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

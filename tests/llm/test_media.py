@@ -63,6 +63,42 @@ def test_without_a_sync_table_every_sample_is_a_keyframe():
     assert media.probe(media.reader(data), len(data)).keyframes.tolist() == [0, 1]
 
 
+def two_tracks():
+    """Audio without a sync table by 32-bit offsets, then video with one by 64-bit offsets."""
+
+    def trak(kind, sizes, start, big, keys):
+        tables = [
+            box(b"stsd", bytes(4), struct.pack(">I", 1), box(kind, bytes(20))),
+            box(b"stts", bytes(4), struct.pack(">III", 1, len(sizes), 10)),
+            box(b"stsc", bytes(4), struct.pack(">IIII", 1, 1, len(sizes), 1)),
+            box(b"stsz", bytes(4), struct.pack(f">II{len(sizes)}I", 0, len(sizes), *sizes)),
+            box(b"co64" if big else b"stco", bytes(4), struct.pack(">IQ" if big else ">II", 1, start)),
+        ]
+        if keys:
+            tables.append(box(b"stss", bytes(4), struct.pack(f">I{len(keys)}I", len(keys), *keys)))
+        return box(b"trak", box(b"mdia", box(b"mdhd", bytes(4), struct.pack(">IIII", 0, 0, 10, len(sizes))), box(b"minf", box(b"stbl", *tables))))
+
+    data = b"aabbb" + b"VVVVwwwwwX"
+
+    def moov(at):
+        return box(b"moov", trak(b"mp4a", [2, 3], at, False, None), trak(b"avc1", [4, 5, 1], at + 5, True, [1, 3]))
+
+    return moov(len(moov(0)) + 8) + box(b"mdat", data)
+
+
+def test_each_track_has_its_own_tables(spark):
+    data = two_tracks()
+    audio, video = media.probe_tracks(media.reader(data), len(data))
+    assert (audio.codec, audio.keyframes.tolist(), media.payload_of(media.reader(data), audio)) == ("mp4a", [0, 1], b"aabbb")
+    assert (video.codec, video.keyframes.tolist(), media.payload_of(media.reader(data), video)) == ("avc1", [0, 2], b"VVVVwwwwwX")
+    half = data[: data.rindex(b"stsz")] + b"xxxx" + data[data.rindex(b"stsz") + 4 :]
+    fragmented = data + box(b"moof", box(b"traf"))
+    got = {r["id"]: r for r in media.probe_columns(spark.createDataFrame([(1, data), (2, half), (3, fragmented)], "id int, media binary")).collect()}
+    assert [(t["codec"], t["n_samples"], [data[k["offset"] :][: k["size"]] for k in t["keyframes"]]) for t in got[1]["tracks"]] == [("mp4a", 2, [b"aa", b"bbb"]), ("avc1", 3, [b"VVVV", b"X"])]
+    assert got[2]["codec"] == "mp4a" and got[2]["error"] is None and [t["error"] for t in got[2]["tracks"]] == [None, "no stsz box"]
+    assert got[3]["error"] and got[3]["n_samples"] is None and got[3]["tracks"] is None
+
+
 def test_payloads_are_not_read_by_a_probe():
     data = media.pack(b"x" * 192 * 5000)
     seen = []
