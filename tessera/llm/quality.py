@@ -1,7 +1,7 @@
 """Quality classifier by hierarchical empirical Bayes: a document's own evidence joined with its host's and path's.
 
 1. A logistic classifier on surface and lexicon features is fitted to a bounded sample of labelled rows
-   (SAMPLE of them, drawn by hash; the bound is a parameter). Everything after that covers all rows.
+   (at most SAMPLE of them, drawn by hash; the bound is a parameter). Everything after that covers all rows.
 2. Every document gets the classifier's probability of being good, from its whole text.
 3. Grouped sums by path give each path's count and mean; hosts and the whole follow from them. Between-site
    variances by moments give the prior strengths, so a host's posterior shrinks to the global mean and a path's to its
@@ -12,7 +12,8 @@
 Sums are combined before they move, so a host with a third of all rows costs no more than others.
 
 Edge cases. Null or empty text has a feature row like any other. Null hosts make one host, null paths one
-path of their host. Unlabelled rows and null labels aren't trained on; with fewer than two classes in the
+path of their host. Unlabelled rows and null labels aren't trained on, nor are ids whose labels disagree; an id that
+repeats in docs has each of its rows drawn on its own, within the bound. With fewer than two classes in the
 sample the classifier says the sample's mean (0.5 for none). Repeated rows are scored alike. An empty table
 gives no rows. Columns that clash with the operator's own make its get an underscore in front.
 """
@@ -21,21 +22,21 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
+from operator import eq
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.llm.common import drawn, join_small, key_text, stored, unused
 
-#: Labelled rows that the classifier may be fitted to, and words that its lexicon may have.
-SAMPLE, LEXICON = 6_000, 2_000
-#: Documents of the sample that a lexicon word must be in.
-WORD_ROWS = 8
+#: Labelled rows that the classifier may be fitted to: its only bound, which bounds the lexicon too.
+SAMPLE = 6_000
+#: Documents of the sample that a word must be in, and the log odds it must have either way, to tell anything.
+WORD_ROWS, WORD_ODDS = 8, 1.0
 SITE_WEIGHT = 0.25
 #: A document is rejected when it is over three times as likely bad as good: losing clean text costs more.
 THRESHOLD = 0.25
@@ -63,13 +64,11 @@ def features(text: bytes | None, lexicon: dict[bytes, float]) -> list[float]:
     distinct = set(words)
     hits = [lexicon[w] for w in distinct & lexicon.keys()]
     bad, good = [-h for h in hits if h < 0], [h for h in hits if h > 0]
-    upper = sum(map(text.count, _UPPER))
-    runs = max((sum(1 for _ in g) for _, g in groupby(words)), default=0)
+    kinds = np.bincount(np.frombuffer(text, np.uint8), minlength=256) @ _KINDS
+    runs = max((sum(1 for _ in g) for _, g in groupby(words)), default=0) if any(map(eq, words, islice(words, 1, None))) else min(1, len(words))
     return [
         np.log1p(size),
-        upper / size,
-        len(text.translate(None, _PLAIN)) / size,
-        sum(map(text.count, _DIGITS)) / size,
+        *(kinds / size),
         len(distinct) / n,
         np.log1p(n) - np.log1p(len(distinct)),
         size / n,
@@ -82,21 +81,22 @@ def features(text: bytes | None, lexicon: dict[bytes, float]) -> list[float]:
     ]
 
 
-_UPPER = [bytes([b]) for b in range(ord("A"), ord("Z") + 1)]
-_DIGITS = [bytes([b]) for b in range(ord("0"), ord("9") + 1)]
-#: Letters, digits, white space and all bytes of longer characters; what is left are ASCII marks.
-_PLAIN = bytes(b for b in range(256) if b >= 128 or chr(b).isalnum() or chr(b).isspace())
+#: Bytes as capitals, marks (neither letters, digits nor white space, nor of longer characters) and digits.
+_KINDS = np.array([[65 <= b <= 90, b < 128 and not chr(b).isalnum() and not chr(b).isspace(), 48 <= b <= 57] for b in range(256)], float)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, good: Column, id_col: str, rows: int) -> DataFrame:
-    """(good, text) of at most `rows` labelled documents, drawn by the hash of the id."""
-    chosen = labels.select(F.col(id_col), good.cast("int").alias("__good")).filter(F.col("__good").isNotNull() & F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return docs.join(F.broadcast(drawn(chosen, F.col(id_col), rows)), id_col)
+def _sample(docs: DataFrame, labels: DataFrame, good: Column, id_col: str, text_col: str, rows: int) -> DataFrame:
+    """(good, text) of at most `rows` labelled documents: ids drawn by their hash, then their rows by the hash of id and text."""
+    told = labels.select(F.col(id_col), good.cast("int").alias("__good")).filter(F.col("__good").isNotNull() & F.col(id_col).isNotNull())
+    agreed = told.groupBy(id_col).agg(F.min("__good").alias("__good"), F.max("__good").alias("__other")).filter("__good = __other").drop("__other")
+    joined = docs.join(F.broadcast(drawn(agreed, F.col(id_col), rows)), id_col)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return joined.select("__good", text.cast("binary").alias("text"), F.xxhash64(id_col, text).alias("h")).orderBy("h", "text", "__good").limit(rows).select("__good", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, good: Column, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE) -> Model:
-    """The classifier, from a bounded sample; good is a condition on the columns of labels. The lexicon and the feature rows are bounded by LEXICON and rows."""
-    sample = stored(_sample(docs, labels, good, id_col, rows).select("__good", F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")), "quality-sample")
+    """The classifier, from a bounded sample; good is a condition on the columns of labels. What reaches the driver is bounded by the sample."""
+    sample = stored(_sample(docs, labels, good, id_col, text_col, rows), "quality-sample")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -114,8 +114,8 @@ def fit(docs: DataFrame, labels: DataFrame, good: Column, id_col: str = "doc_id"
         return Model({}, np.zeros(0), np.ones(0), np.zeros(0), prior)
     seen = sample.mapInArrow(distinct, "word binary, good int, n long").groupBy("word").agg(F.sum(F.when(F.col("good") == 1, F.col("n")).otherwise(0)).alias("g"), F.sum(F.when(F.col("good") == 0, F.col("n")).otherwise(0)).alias("b"))
     odds = F.log((F.col("g") + 0.5) / (n_good + 1)) - F.log((F.col("b") + 0.5) / (n_bad + 1))
-    told = seen.filter((F.col("g") + F.col("b") >= WORD_ROWS) & (F.length("word") > 0)).select("word", odds.alias("odds"), (F.abs(odds) * F.sqrt(F.col("g") + F.col("b"))).alias("force"))
-    lexicon = {bytes(r["word"]): r["odds"] for r in told.filter(F.abs("odds") > 1).orderBy(F.desc("force"), "word").limit(LEXICON).collect()}
+    told = seen.filter((F.col("g") + F.col("b") >= WORD_ROWS) & (F.length("word") > 0)).select("word", odds.alias("odds"))
+    lexicon = {bytes(r["word"]): r["odds"] for r in told.filter(F.abs("odds") > WORD_ODDS).collect()}
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -124,6 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame, good: Column, id_col: str = "doc_id"
 
     got = sample.mapInArrow(rows_of, "good int, x array<double>").toPandas()
     x, y = np.array(got["x"].tolist()), got["good"].to_numpy(float)
+    order = np.lexsort((y, *x.T))  # sums don't depend on the order in which rows came
+    x, y = x[order], y[order]
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     return Model(lexicon, mean, scale, _logistic((x - mean) / scale, y), prior)
 
@@ -150,16 +152,14 @@ def probability(text: bytes | None, model: Model) -> float:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "p_text") -> DataFrame:
-    """docs with the classifier's probability in a further column, text for text."""
+    """docs with the classifier's probability in a further column; only the texts go to Python."""
     (name,) = unused(docs, out_col)
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            p = [probability(None if (t := x.as_py()) is None else t if isinstance(t, bytes) else t.encode(), model) for x in b.column(at)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], schema=b.schema.append(pa.field(name, pa.float64())))
+    @F.arrow_udf("double")
+    def p_of(texts: pa.Array) -> pa.Array:
+        return pa.array([probability(x.as_py(), model) for x in texts], pa.float64())
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.withColumn(name, p_of(F.col(text_col).cast("binary")))
 
 
 def _strength(sites: DataFrame, mean: str, upper: str) -> Column:
@@ -216,12 +216,8 @@ def classify(docs: DataFrame, model: Model, host: str = "source", path: str = "l
 
 
 def filtered(docs: DataFrame, model: Model, host: str = "source", path: str = "lang", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs without those that the classifier rejects.
-
-    Texts are scored twice, once for the sites' sums and once on the way out, so that no text is shuffled or stored.
-    """
+    """docs without those that the classifier rejects. Rows are stored with their scores, so each text is scored once and none is shuffled."""
     (p,) = unused(docs, "p_text")
-    narrow = score(docs.select(host, path, text_col), model, text_col, p).drop(text_col)
-    table = sites(narrow, F.col(host), F.col(path), p)
-    out = combine(score(docs, model, text_col, p), table, F.col(host), F.col(path), p)
+    scored = stored(score(docs, model, text_col, p), "quality-scored")
+    out = combine(scored, sites(scored, F.col(host), F.col(path), p), F.col(host), F.col(path), p)
     return out.filter(F.col(out.columns[-1]) >= threshold).select(*docs.columns)

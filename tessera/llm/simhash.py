@@ -17,7 +17,7 @@ Copies never meet: they share one distinct fingerprint. Nothing but counts reach
 Edge cases. Null or empty text, or white space only: fingerprint zero, linked like any other. A null
 doc_id keeps its row and links; component_id is the smallest doc_id that isn't null, or null if there is
 none. Repeated rows stay, with equal values. An empty table gives no rows. Other columns are ignored by
-components() and kept by deduplicate().
+components(); deduplicate() states its own cases in overlap.
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import stored, unused
+from tessera.llm import overlap
+from tessera.llm.common import stored
+from tessera.llm.components import star_components
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -229,32 +231,6 @@ def links(distinct: DataFrame, hot: int = HOT_GROUP) -> DataFrame:
     return cold.mapInArrow(_links_of(1), "a long, b long").unionByName(split.mapInArrow(_links_of(2), "a long, b long")).distinct()
 
 
-def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of the edges (a, b): large-star and small-star rounds until nothing changes.
-
-    A round needs a few shuffles of the edges; hubs are summed before they move, and joins on them can be split.
-    """
-
-    def state(e: DataFrame):
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    edges = stored(edges.select("a", "b").filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = state(edges)
-    for _ in range(rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        edges = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = stored(edges, "edges")
-        if (after := state(edges)) == before:
-            break
-        before = after
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-
-
 def _grouped(fps: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
     """(distinct fingerprints with their smallest id, linked fingerprints with their root), both stored."""
     distinct = stored(fps.groupBy("fingerprint").agg(F.min(id_col).alias("least")), "fingerprints")
@@ -273,14 +249,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each group of near-duplicates: that of the smallest id (null last), then text hash."""
-    (h,) = unused(docs, "text_hash")
-    keyed = docs.withColumn(h, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    fps = stored(fingerprints(keyed, id_col, text_col, (h,)), "doc-fingerprints")
-    _, roots = _grouped(fps, id_col)
-    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(h).alias("hash"))).alias("first")
-    # Exact copies are summed to one row first, then groups of distinct fingerprints.
-    least = fps.groupBy("fingerprint").agg(first).join(roots, "fingerprint", "left")
-    chosen = least.groupBy(F.coalesce("root", "fingerprint").alias("root")).agg(F.min("first").alias("first")).select(F.col("first.id").alias("__id"), F.col("first.hash").alias("__hash"))
-    kept = keyed.join(chosen, keyed[id_col].eqNullSafe(chosen["__id"]) & (keyed[h] == chosen["__hash"]), "left_semi")
-    return kept.dropDuplicates([id_col, h]).select(*docs.columns)
+    """docs with one row of each group of near-duplicates, texts whose five-word shingles have a Jaccard similarity of 0.8 or more.
+
+    No Hamming bound on 64 bits is lossless for a similarity, so the pivot table here is over the shingles' own bits: see overlap.
+    """
+    return overlap.deduplicate(docs, id_col, text_col)

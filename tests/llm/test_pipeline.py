@@ -2,9 +2,10 @@ import os
 
 import public_tokenizers
 import pytest
+from test_overlap import brute
 from tokenizers import Tokenizer
 
-from tessera.llm import mixing, quality, simhash
+from tessera.llm import mixing, quality
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
@@ -34,24 +35,8 @@ def test_rejected_documents_go(spark, stages):
 
 
 def test_one_of_each_group_stays(stages):
-    def brute(rows):
-        values = [simhash.fingerprint((t or "").encode()) for _, t in rows]
-        root = list(range(len(rows)))
-
-        def find(i):
-            while root[i] != i:
-                i = root[i]
-            return i
-
-        for i in range(len(rows)):
-            for j in range(i):
-                if bin(values[i] ^ values[j]).count("1") <= 3:
-                    a, b = find(i), find(j)
-                    root[max(a, b)] = min(a, b)
-        return {rows[find(i)][0] for i in range(len(rows))}
-
-    rows = sorted((r["doc_id"], r["text"]) for r in stages[1].collect())
-    assert sorted(r["doc_id"] for r in stages[2].collect()) == sorted(brute(rows))
+    rows = [(r["doc_id"], r["text"]) for r in stages[1].collect()]
+    assert sorted(r["doc_id"] for r in stages[2].collect()) == brute(rows)
 
 
 def test_documents_are_repeated_by_their_counts(stages):

@@ -1,10 +1,14 @@
+import math
+import os
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import quality
+from tessera.llm import catalog, quality
+
+SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -38,10 +42,85 @@ def test_held_out_accuracy(corpus, model):
     assert np.mean([r["keep"] for r in got if r["good"]]) > 0.97
 
 
-def test_the_sample_is_bounded(corpus):
+def test_the_sample_is_bounded(spark, corpus):
+    docs, labels = corpus
+    good = F.col("good") == 1
+    assert quality._sample(docs, labels, good, "doc_id", "text", 50).count() == 50
+    copies = docs.filter("doc_id < 60").unionByName(docs.filter("doc_id = 3").crossJoin(spark.range(5000)).drop("id"))
+    assert quality._sample(copies, labels.filter("doc_id = 3"), good, "doc_id", "text", 50).count() == 50
+
+
+def test_labels_that_disagree_are_left_out_and_models_are_equal(spark, corpus):
     docs, labels = corpus
-    few = quality._sample(docs, labels, F.col("good") == 1, "doc_id", 50)
-    assert few.count() == 50
+    clash = labels.unionByName(labels.filter("doc_id < 5").withColumn("good", 1 - F.col("good")))
+    one = quality.fit(docs, clash, F.col("good") == 1, rows=300)
+    two = quality.fit(docs.repartition(7), clash.repartition(5), F.col("good") == 1, rows=300)
+    assert one.lexicon == two.lexicon and (one.weights == two.weights).all() and one.prior == two.prior
+    assert quality._sample(docs.filter("doc_id < 5"), clash, F.col("good") == 1, "doc_id", "text", 50).count() == 0
+
+
+def plain_features(text, lexicon):
+    words = text.lower().split()
+    n, size, distinct = len(words) or 1, len(text) or 1, set(words)
+    bad, good = [-lexicon[w] for w in distinct if lexicon.get(w, 0) < 0], [lexicon[w] for w in distinct if lexicon.get(w, 0) > 0]
+    longest = run = 0
+    for i, w in enumerate(words):
+        run = run + 1 if i and words[i - 1] == w else 1
+        longest = max(longest, run)
+    count = lambda ok: sum(1 for b in text if ok(chr(b)))
+    marks = [b"!!", b"***", b"$$$", b"%%%", b"&&&", b"###", b" | ", b"...", b"http", b"\n"]
+    surface = [math.log(1 + size), count(lambda c: "A" <= c <= "Z") / size, count(lambda c: c < "\x80" and not c.isalnum() and not c.isspace()) / size, count(lambda c: "0" <= c <= "9") / size]
+    spread = [len(distinct) / n, math.log(1 + n) - math.log(1 + len(distinct)), size / n, min(longest, 20) / 20]
+    told = [max(bad, default=0), math.log(1 + sum(bad)), len(bad) / n, math.log(1 + sum(good)) - math.log(1 + n)]
+    return surface + spread + told + [math.log(1 + 100 * text.count(m) / n) for m in marks]
+
+
+def plain_strength(sites):
+    """sites: (n, mean, upper mean)."""
+    total = sum(n for n, _, _ in sites)
+    within = sum(n * u * (1 - u) for n, _, u in sites) / total
+    between = sum(n * (m - u) ** 2 for n, m, u in sites) / total - sum(u * (1 - u) for _, _, u in sites) / total
+    return min(1000, max(1, within / max(between, 1e-9)))
+
+
+def plain_classified(rows, model):
+    """(p_text, host posterior, path posterior, p_good, keep) of (text, host, path) rows, in plain Python."""
+    p = []
+    for text, _, _ in rows:
+        x = plain_features((text or "").encode(), model.lexicon)
+        z = sum(w * (v - m) / s for w, v, m, s in zip(model.weights, x, model.mean, model.scale)) + model.weights[-1]
+        p.append(min(1 - 1e-6, max(1e-6, 1 / (1 + math.exp(-min(30, max(-30, z)))))))
+    hosts, paths = {}, {}
+    for (_, h, q), v in zip(rows, p):
+        hosts.setdefault(h, []).append(v)
+        paths.setdefault((h, q), []).append(v)
+    mu = sum(p) / len(p)
+    k_host = plain_strength([(len(v), sum(v) / len(v), mu) for v in hosts.values()])
+    mean = {h: (k_host * mu + sum(v)) / (k_host + len(v)) for h, v in hosts.items()}
+    k_path = plain_strength([(len(v), sum(v) / len(v), mean[h]) for (h, _), v in paths.items()])
+    safe = lambda v: min(1 - 1e-6, max(1e-6, v))
+    logit = lambda v: math.log(v) - math.log(1 - v)
+    out = []
+    for (_, h, q), v in zip(rows, p):
+        a = safe((k_host * mu + sum(hosts[h]) - v) / (k_host + len(hosts[h]) - 1))
+        b = safe((k_path * a + sum(paths[h, q]) - v) / (k_path + len(paths[h, q]) - 1))
+        z = logit(v) + 0.25 * (logit(b) - logit(safe(mu)))
+        out.append((v, a, b, 1 / (1 + math.exp(-z)), 1 / (1 + math.exp(-z)) >= 0.25))
+    return out
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
+def test_the_query_equals_plain_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = catalog.fitted(spark, docs, SF)
+    rows = docs.collect()
+    want = dict(zip([r["doc_id"] for r in rows], plain_classified([(r["text"], r["source"], r["lang"]) for r in rows], model)))
+    got = catalog.op2_quality(spark, SF).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        *numbers, keep = want[r["doc_id"]]
+        assert [r["p_text"], r["host_posterior"], r["path_posterior"], r["p_good"]] == pytest.approx(numbers, rel=1e-6, abs=1e-9)
+        assert r["keep"] == keep
 
 
 def test_posteriors_by_hand(spark):
@@ -90,4 +169,4 @@ def test_without_labels_the_sample_mean_counts(spark, corpus):
 def test_null_labels_are_left_out(spark, corpus):
     docs, _ = corpus
     rows = spark.createDataFrame([(1, None), (None, 1), (2, 1), (2, 1)], "doc_id long, good int")
-    assert quality._sample(docs, rows, F.col("good") == 1, "doc_id", 10).count() == 1
+    assert quality._sample(docs, rows, F.col("good") == 1, "doc_id", "text", 10).count() == 1
