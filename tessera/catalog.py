@@ -173,12 +173,23 @@ def missing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotations.missing_labels(table(spark, sf_dir, "lineitem").select("l_linestatus", "l_returnflag"), "l_returnflag", ("A", "N", "R", "X"), "l_linestatus")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def split_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assigned = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    assigned = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     return splits.without_split(table(spark, sf_dir, "customer"), assigned, "c_custkey")
 
 
+@query(
+    """WITH s AS (SELECT o_custkey % 7 AS export_no, (o_orderkey % 900)::VARCHAR AS setup, o_orderkey % 3 <> 0 AS colour FROM orders)
+SELECT export_no, setup, bool_or(colour) AND bool_or(NOT colour) AS paired FROM s GROUP BY 1, 2"""
+)
+def setup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    stem = F.concat((k % 900).cast("string"), F.when(k % 3 != 0, "_Color").otherwise("_empty"))
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 7).alias("export_no"), stem.alias("stem"))
+    return annotations.setup_pairs(rows, "export_no", "stem")
+
+
 @query("SELECT o_orderkey, coalesce(list_transform(list_sort(list({'n': l_linenumber, 'f': l_returnflag}) FILTER (WHERE l_orderkey IS NOT NULL)), lambda s: s.n || s.f), []) AS labels FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")
 def grouped_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_returnflag")
@@ -397,12 +408,14 @@ def component_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT count(*) AS n_images, count(*) FILTER (WHERE o_orderstatus <> 'F') AS n_positive, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_negative,
-  CAST(sum(o_orderkey % 4) AS BIGINT) AS n_augmented, CAST(sum((o_orderkey % 4) * (o_custkey % 3)) AS BIGINT) AS n_pastes, count(*) FILTER (WHERE o_orderkey % 4 = 0) AS n_without FROM orders"""
+    """WITH i AS (SELECT o_orderstatus <> 'F' AS positive, CASE WHEN o_orderstatus <> 'F' OR o_orderkey % 2 = 0 THEN 3 ELSE 0 END AS tried, o_orderkey % 4 AS got FROM orders)
+SELECT count(*) AS train_images_total, count(*) FILTER (WHERE positive) AS train_images_with_labels, count(*) FILTER (WHERE NOT positive) AS train_images_hard_negatives,
+  CAST(sum(tried) AS BIGINT) AS augmentation_attempts, CAST(sum(least(tried, got)) AS BIGINT) AS augmented_images_written, CAST(count(*) + sum(least(tried, got)) AS BIGINT) AS final_train_image_count FROM i"""
 )
 def aug_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = F.col("o_orderkey") % 4
-    return stats.augmentation_summary(table(spark, sf_dir, "orders"), F.col("o_orderstatus") != "F", made, made * (F.col("o_custkey") % 3))
+    positive, k = F.col("o_orderstatus") != "F", F.col("o_orderkey")
+    tried = F.when(positive | (k % 2 == 0), 3).otherwise(0)
+    return stats.augmentation_summary(table(spark, sf_dir, "orders"), positive, tried, F.least(tried, k % 4))
 
 
 @query(
@@ -583,15 +596,27 @@ def stream_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(kept.schema).parquet(out).select("user_id", "event_id", "ts_ns", "sample_no")
 
 
-@query()
+def _fill_sql(vertices: str, value: str) -> str:
+    """Pixels of fills by parity, edges included: vertices has (vec_id, ring, i, x, y), in whole pixels."""
+    return f"""v AS ({vertices}),
+edge AS (SELECT vec_id, x AS x0, y AS y0, coalesce(lead(x) OVER w, first(x) OVER w) AS x1, coalesce(lead(y) OVER w, first(y) OVER w) AS y1 FROM v WINDOW w AS (PARTITION BY vec_id, ring ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+crossing AS (SELECT vec_id, r AS y, x0 + ((r - y0) * (x1 - x0))::DOUBLE / (y1 - y0) AS x FROM (SELECT *, unnest(range(least(y0, y1), greatest(y0, y1))) AS r FROM edge WHERE y0 <> y1)),
+sorted AS (SELECT *, row_number() OVER (PARTITION BY vec_id, y ORDER BY x) AS k, lead(x) OVER (PARTITION BY vec_id, y ORDER BY x) AS until FROM crossing),
+inside AS (SELECT vec_id, unnest(range(ceil(x)::BIGINT, floor(until)::BIGINT + 1)) AS x, y FROM sorted WHERE k % 2 = 1),
+step AS (SELECT *, unnest(range(0, greatest(abs(x1 - x0), abs(y1 - y0)) + 1)) AS k, greatest(abs(x1 - x0), abs(y1 - y0)) AS n FROM edge),
+outline AS (SELECT vec_id, round_even(CASE WHEN n = 0 THEN x0 ELSE k * ((x1 - x0)::DOUBLE / n) + x0 END, 0)::BIGINT AS x, round_even(CASE WHEN n = 0 THEN y0 ELSE k * ((y1 - y0)::DOUBLE / n) + y0 END, 0)::BIGINT AS y FROM step)
+SELECT vec_id, count(*) AS {value} FROM (SELECT vec_id, x, y FROM inside UNION SELECT vec_id, x, y FROM outline) WHERE x BETWEEN 0 AND 255 AND y BETWEEN 0 AND 255 GROUP BY 1"""
+
+
+@query(f"WITH {XY_SQL}, " + _fill_sql("SELECT vec_id, 0 AS ring, i, trunc(x)::BIGINT AS x, trunc(y)::BIGINT AS y FROM xy", "n_pixels"))
 def raster_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixels of each polygon, filled on a canvas of 256 by 256."""
     rows = polygon_rows(spark, sf_dir).select("vec_id", F.transform("flat", lambda v: v / 256).alias("poly"))
     return rows.select("vec_id", augment.raster_area(F.col("poly"), F.lit(256), F.lit(256)).alias("n_pixels"))
 
 
-@query()
+@query(f"WITH {XY_SQL}, " + _fill_sql("SELECT vec_id, ring, i, trunc(x + 10 * ring)::BIGINT AS x, trunc(y + 10 * ring)::BIGINT AS y FROM xy, (VALUES (0), (1)) r(ring)", "n_pixels"))
 def raster_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size of the mask file of each polygon's parity fill."""
-    rows = polygon_rows(spark, sf_dir).select("vec_id", F.array("flat").alias("polys"))
-    return rows.select("vec_id", F.length(augment.region_png(F.col("polys"), F.lit(256), F.lit(256))).alias("n_bytes"))
+    """Pixels of the mask file of each polygon and its copy beside it, filled by parity."""
+    rows = polygon_rows(spark, sf_dir).select("vec_id", F.array("flat", F.transform("flat", lambda v: v + 10)).alias("polys"))
+    return rows.select("vec_id", augment.mask_pixels(augment.region_png(F.col("polys"), F.lit(256), F.lit(256))).alias("n_pixels"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.functions.strings import setup_key
 from tessera.operators.ranking import range_bucket, ranked
 
 
@@ -56,7 +57,13 @@ def merged(parts: Sequence[DataFrame], order: list[str], export: str = "export_n
     out = rows[0]
     for p in rows[1:]:
         out = out.unionByName(p)
-    return ranked(out, [F.col(c) for c in order], F.col(export).cast("long"), "__at", (export,)).transform(lambda d: _after_groups(d, export, name))
+    return dense(out, order, export, name)
+
+
+def dense(rows: DataFrame, order: list[str], export: str = "export_no", name: str = "new_id") -> DataFrame:
+    """rows of several exports under dense ids, by export, then by an order whose first column is a number; an export is sorted in ranges, not in one task."""
+    at = ranked(rows, [F.col(c) for c in order], range_bucket(rows, F.col(order[0]).cast("double")), "__at", (export,))
+    return _after_groups(at, export, name)
 
 
 def _after_groups(rows: DataFrame, group: str, name: str) -> DataFrame:
@@ -91,6 +98,13 @@ def collisions(rows: DataFrame, key: str, export: str) -> DataFrame:
     return rows.groupBy(key).agg(F.array_sort(F.collect_set(export)).alias("exports")).filter(F.size("exports") > 1)
 
 
+def setup_pairs(images: DataFrame, export: str, stem: str, ends: Sequence[str] = ("_Color", "_empty")) -> DataFrame:
+    """(export, setup, paired) of each setup: whether it has an image of either end, the scene and its empty twin."""
+    setup = setup_key(F.col(stem))
+    seen = [F.bool_or(F.col(stem).endswith(e)) for e in ends]
+    return images.groupBy(export, setup.alias("setup")).agg((seen[0] & seen[1]).alias("paired"))
+
+
 def with_annotations(images: DataFrame, annotations: DataFrame, image: str, order: str, columns: Sequence[str], name: str = "annotations") -> DataFrame:
     """Images with their annotations as an array in order, empty without any."""
     lists = annotations.groupBy(image).agg(F.sort_array(F.collect_list(F.struct(order, *[c for c in columns if c != order]))).alias(name))

@@ -21,9 +21,12 @@ def hash_bucket(number: Column, buckets: int = BUCKETS) -> Column:
 
 def range_bucket(df: DataFrame, column: Column, buckets: int = BUCKETS, rows: int = BUCKET_ROWS) -> Column:
     """A bucket by ranges of a numeric column, of about `rows` rows, or more beyond `buckets`; only bounds reach the driver."""
-    at = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    n, bounds = df.agg(F.count("*"), F.percentile_approx(column, at, F.lit(4 * buckets))).first()
+    n = df.count()
     wanted = min(buckets, n // rows + 1)
+    if wanted == 1:
+        return F.lit(0).cast("long")
+    at = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    bounds = df.agg(F.percentile_approx(column, at, F.lit(4 * buckets))).first()[0]
     return _bisected(column, sorted({bounds[i * buckets // wanted - 1] for i in range(1, wanted)} if bounds else []))
 
 
@@ -35,15 +38,16 @@ def _bisected(column: Column, bounds: list, below: int = 0) -> Column:
     return F.when(column > bounds[mid], _bisected(column, bounds[mid + 1 :], below + mid + 1)).otherwise(_bisected(column, bounds[:mid], below))
 
 
-def ranked(df: DataFrame, order: list[Column | str], bucket: Column, name: str, group: tuple[str, ...] = (), size: str | None = None) -> DataFrame:
+def ranked(df: DataFrame, order: list[Column | str], bucket: Column, name: str, group: tuple[str, ...] = (), size: str | None = None, weight: Column | None = None) -> DataFrame:
     """df with each row's position (from 1) in its group's order, and if wanted the group's size.
 
-    bucket must grow with the order. Rows are sorted within a bucket of a group only; the counts of earlier buckets
-    are added. Without groups that is one row for each bucket in one task.
+    With a weight, a row counts that often: its position is the sum up to and with it. bucket must grow with the order.
+    Rows are sorted within a bucket of a group only; the counts of earlier buckets are added. Without groups that is one
+    row for each bucket in one task.
     """
     rows = df.withColumn("__bucket", bucket)
     keys = [*group, "__bucket"]
-    n = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
+    n = rows.groupBy(*keys).agg((F.count("*") if weight is None else F.sum(weight)).alias("__n"))
     upto = Window.partitionBy(*group).orderBy("__bucket")
     n = n.withColumn("__before", F.coalesce(F.sum("__n").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     n = n.withColumn("__size", F.sum("__n").over(Window.partitionBy(*group))).drop("__n")
@@ -52,6 +56,7 @@ def ranked(df: DataFrame, order: list[Column | str], bucket: Column, name: str,
     for i, k in enumerate(keys):
         same = F.col(k).eqNullSafe(F.col(f"__k{i}"))
         on = same if on is None else on & same
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) + F.col("__before")
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    place = (F.row_number().over(inside) if weight is None else F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, 0))) + F.col("__before")
     more = [F.col("__size").alias(size)] if size else []
     return rows.join(n, on).select(*[F.col(f"`{c}`") for c in df.columns], place.alias(name), *more)

@@ -6,23 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.operators.ranking import range_bucket, ranked
 
-def _in_order(recording: str, time: str, tie: str) -> Window:
-    return Window.partitionBy(recording).orderBy(time, tie)
+
+def _with_span(frames: DataFrame, recording: str, time: str) -> DataFrame:
+    """frames with __first and __last, the bounds of their recording: partial minima and maxima are joined, no recording is gathered."""
+    spans = durations(frames, recording, time).select(F.col(recording).alias("__r"), F.col("first_time").alias("__first"), F.col("last_time").alias("__last"))
+    return frames.join(spans, F.col(recording).eqNullSafe(F.col("__r"))).drop("__r")
 
 
 def with_offset(frames: DataFrame, recording: str, time: str, name: str = "offset") -> DataFrame:
     """frames with the time since the recording's first frame."""
-    return frames.withColumn(name, F.col(time) - F.min(time).over(Window.partitionBy(recording)))
+    return _with_span(frames, recording, time).withColumn(name, F.col(time) - F.col("__first")).drop("__first", "__last")
 
 
 def trim(frames: DataFrame, recording: str, time: str, start_skip: int = 0, skip_end: int = 0) -> DataFrame:
     """Frames from start_skip after the first to skip_end before the last, that end left out."""
-    whole = Window.partitionBy(recording)
-    first, last = F.min(time).over(whole), F.max(time).over(whole)
-    end = F.greatest(F.lit(0), last - first - F.lit(skip_end))
-    spans = frames.withColumns({"__t": F.col(time) - first, "__end": end})
-    return spans.filter((F.col("__t") >= start_skip) & (F.col("__t") < F.col("__end"))).drop("__t", "__end")
+    at = F.col(time) - F.col("__first")
+    end = F.greatest(F.lit(0), F.col("__last") - F.col("__first") - F.lit(skip_end))
+    return _with_span(frames, recording, time).filter((at >= start_skip) & (at < end)).drop("__first", "__last")
 
 
 def durations(frames: DataFrame, recording: str, time: str) -> DataFrame:
@@ -30,10 +32,16 @@ def durations(frames: DataFrame, recording: str, time: str) -> DataFrame:
     return frames.groupBy(recording).agg(F.min(time).alias("first_time"), F.max(time).alias("last_time")).withColumn("duration", F.col("last_time") - F.col("first_time"))
 
 
+def _placed(frames: DataFrame, recording: str, time: str, tie: str) -> DataFrame:
+    """frames with __i, their place (from 1) in their recording, and __range, the range of times in which they were sorted."""
+    bucket = range_bucket(frames, F.col(time).cast("double"))
+    return ranked(frames.withColumn("__range", bucket), [time, tie], F.col("__range"), "__i", (recording,))
+
+
 def every_nth(frames: DataFrame, recording: str, time: str, tie: str, n: int, name: str = "frame_no") -> DataFrame:
-    """Every n-th frame from the first, numbered densely from 0."""
-    at = F.row_number().over(_in_order(recording, time, tie)) - 1
-    return frames.withColumn("__i", at).filter(F.pmod(F.col("__i"), F.lit(n)) == 0).withColumn(name, F.floor(F.col("__i") / n).cast("int")).drop("__i")
+    """Every n-th frame from the first, numbered densely from 0; a recording is sorted in ranges of time, not in one task."""
+    at = F.col("__i") - 1
+    return _placed(frames, recording, time, tie).filter(F.pmod(at, F.lit(n)) == 0).withColumn(name, F.floor(at / n).cast("int")).drop("__i", "__range")
 
 
 def stride_sample(frames: DataFrame, recording: str, time: str, tie: str, stride: int, origin: Column | None = None, name: str = "sample_no") -> DataFrame:
@@ -43,15 +51,20 @@ def stride_sample(frames: DataFrame, recording: str, time: str, tie: str, stride
     frames are kept one after the other until the target has caught up. With b the number of the stride that frame i
     (from 1) lies in, c(i) = i + min(0, min over j <= i of b(j) + 1 - j) frames are kept up to i, and i is one of them if
     c grows there. `time` and stride have the same units; the first target is origin, or else the first frame.
+
+    Places and minima are taken within ranges of time and carried over from the ranges before, so no recording is sorted in one task.
     """
-    order = _in_order(recording, time, tie)
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    origin = F.min(time).over(Window.partitionBy(recording)) if origin is None else origin
-    b = F.floor((F.col(time) - origin) / F.lit(stride))
-    rows = frames.withColumn("__i", F.row_number().over(order).cast("long")).withColumn("__b", b + 1 - F.col("__i"))
-    rows = rows.withColumn("__c", F.col("__i") + F.least(F.lit(0), F.min("__b").over(upto)))
-    rows = rows.withColumn("__p", F.coalesce(F.lag("__c").over(order), F.lit(0)))
-    return rows.filter(F.col("__c") > F.col("__p")).withColumn(name, (F.col("__c") - 1).cast("int")).drop("__i", "__b", "__c", "__p")
+    rows = _with_span(frames, recording, time) if origin is None else frames
+    b = F.floor((F.col(time) - (F.col("__first") if origin is None else origin)) / F.lit(stride))
+    rows = _placed(rows, recording, time, tie).withColumn("__b", b + 1 - F.col("__i"))
+    part = rows.groupBy(F.col(recording).alias("__r"), F.col("__range").alias("__k")).agg(F.min("__b").alias("__m"))
+    earlier = Window.partitionBy("__r").orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.select("__r", "__k", F.least(F.lit(0), F.min("__m").over(earlier)).alias("__before"))
+    rows = rows.join(part, F.col(recording).eqNullSafe(F.col("__r")) & (F.col("__range") == F.col("__k")))
+    inside = Window.partitionBy(recording, "__range").orderBy("__i")
+    low = lambda last: F.least(F.col("__before"), F.min("__b").over(inside.rowsBetween(Window.unboundedPreceding, last)))
+    rows = rows.withColumns({"__c": F.col("__i") + low(0), "__p": F.col("__i") - 1 + low(-1)})
+    return rows.filter(F.col("__c") > F.col("__p")).withColumn(name, (F.col("__c") - 1).cast("int")).select(*frames.columns, name)
 
 
 def manifest(kept: DataFrame, recording: str, seconds: Column, name: Column, sample_no: str = "sample_no") -> DataFrame:
@@ -73,6 +86,11 @@ def topic_choice(topics: DataFrame, by: list[str], topic_id: str, topic_name: st
     return pick_first(topics.withColumn("__rank", rank).filter(F.col("__rank").isNotNull()), by, ["__rank", topic_id]).drop("__rank")
 
 
+def without_topic(topics: DataFrame, by: list[str], topic_id: str, topic_name: str, topic_type: Column | None = None) -> DataFrame:
+    """Recordings none of whose topics has images."""
+    return topics.select(*by).distinct().join(topic_choice(topics, by, topic_id, topic_name, topic_type).select(*by), by, "left_anti")
+
+
 def random_n(rows: DataFrame, by: list[str], key: str, n: int, seed: int = 0) -> DataFrame:
     """n rows of each group without replacement, in the order of a hash of seed and key; the rest is dropped before any group is gathered whole."""
     place = F.row_number().over(Window.partitionBy(*by).orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key))

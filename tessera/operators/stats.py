@@ -6,13 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numbers import EPSILON, transfer
+from tessera.operators.ranking import range_bucket, ranked
 
 
 def size_calibration(labels: DataFrame, group: str, area: Column) -> DataFrame:
-    """Number, median, 5th and 95th percentile of the positive areas of each class; percentiles interpolate and are cut to whole numbers."""
-    sized = labels.withColumn("__a", area).filter("__a > 0")
-    p = F.percentile("__a", F.array(F.lit(0.5), F.lit(0.05), F.lit(0.95)))
-    return sized.groupBy(group).agg(F.count("*").alias("n_samples"), p.alias("p")).select(group, "n_samples", *[F.get("p", i).cast("int").alias(c) for i, c in enumerate(("median_area", "p05_area", "p95_area"))])
+    """Number, median, 5th and 95th percentile of the positive areas of each class; percentiles interpolate and are cut to whole numbers.
+
+    Equal areas are counted before they move, and the counts summed up in ranges, so no class is gathered in one task.
+    """
+    counts = labels.withColumn("__a", area).filter("__a > 0").groupBy(group, "__a").agg(F.count("*").alias("__w"))
+    upto = ranked(counts, [F.col("__a")], range_bucket(counts, F.col("__a").cast("double")), "__upto", (group,), "n_samples", F.col("__w"))
+    a, n = F.col("__a").cast("double"), F.col("n_samples")
+    aggs, out = [], []
+    for name, p in (("median_area", 0.5), ("p05_area", 0.05), ("p95_area", 0.95)):
+        place = F.lit(p) * (n - 1)
+        low = F.floor(place)
+        aggs += [F.min(F.when(F.col("__upto") > low, a)).alias(f"{name}_low"), F.min(F.when(F.col("__upto") > F.least(low + 1, n - 1), a)).alias(f"{name}_high"), F.first(place - low).alias(f"{name}_part")]
+        out.append((F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low")) * F.col(f"{name}_part")).cast("int").alias(name))
+    return upto.groupBy(group).agg(F.first("n_samples").alias("n_samples"), *aggs).select(group, "n_samples", *out)
 
 
 def image_partials(pixels: DataFrame, image: str, group: str, value: Column) -> DataFrame:
@@ -67,15 +78,16 @@ def component_summary(clips: DataFrame, component: str, n_masks: Column) -> Data
     return clips.groupBy(component).agg(F.count("*").alias("n_videos"), F.sum(n_masks).cast("long").alias("n_masks"))
 
 
-def augmentation_summary(images: DataFrame, positive: Column, n_made: Column, n_pasted: Column) -> DataFrame:
-    """Six counters over a run: images, positive, negative, augmented images, pastes, and images of which nothing came."""
+def augmentation_summary(images: DataFrame, positive: Column, n_tried: Column, n_made: Column) -> DataFrame:
+    """Six counters over a run's training images: all, with labels, without any, variants tried, variants written, and images in the end."""
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     return images.agg(
-        F.count("*").alias("n_images"),
-        F.count_if(positive).alias("n_positive"),
-        F.count_if(~positive).alias("n_negative"),
-        F.sum(n_made).cast("long").alias("n_augmented"),
-        F.sum(n_pasted).cast("long").alias("n_pastes"),
-        F.count_if(n_made == 0).alias("n_without"),
+        F.count("*").alias("train_images_total"),
+        F.count_if(positive).alias("train_images_with_labels"),
+        F.count_if(~positive).alias("train_images_hard_negatives"),
+        whole(n_tried).alias("augmentation_attempts"),
+        whole(n_made).alias("augmented_images_written"),
+        (F.count("*") + whole(n_made)).alias("final_train_image_count"),
     )
 
 

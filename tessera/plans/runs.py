@@ -13,6 +13,7 @@ from tessera.operators import annotations as A
 from tessera.operators import layout, sampling, splits, stats
 from tessera.raster.augment import rle_polygon
 from tessera.sources import coco
+from tessera.tables import join_small
 
 #: Component classes by position, and the label of the area that pastes go to (fixed values).
 CLASSES = ("screw", "nut", "gear")
@@ -42,7 +43,7 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Images of all exports, and their annotations with the label's name and first polygon."""
     images, anns, cats = coco.images(docs), coco.annotations(docs), coco.categories(docs)
     named = cats.select("export_no", F.col("id").alias("category_id"), F.col("name").alias("label"))
-    rows = anns.filter(A.valid_segmentation(F.col("polygons"))).join(F.broadcast(named), ["export_no", "category_id"])
+    rows = join_small(anns.filter(A.valid_segmentation(F.col("polygons"))), named, ["export_no", "category_id"], "inner")
     return images, rows.select("export_no", F.col("image_id"), F.col("id").alias("ann_id"), F.col("pos").alias("ann_pos"), "label", "area", "bbox", polygons.first_polygon(F.col("polygons")).alias("poly"))
 
 
@@ -54,6 +55,12 @@ def check_exports(docs: DataFrame) -> None:
     A.require(A.collisions(setups, "setup", "export_no"), "setups are in several exports")
 
 
+def unpaired(docs: DataFrame) -> DataFrame:
+    """(export_no, setup) of setups that lack an image of either kind."""
+    images = coco.images(docs).withColumn("stem", strings.stem(F.col("file_name")))
+    return A.setup_pairs(images, "export_no", "stem").filter("not paired").select("export_no", "setup")
+
+
 def dataset(docs: DataFrame, split_of: DataFrame, key: Column, group: Column, default: str | None = "train") -> Dataset:
     """Exports as one dataset: split_of has (key, split) for the keys that images get by `key`."""
     images, anns = _labelled(docs)
@@ -120,11 +127,10 @@ def merged_coco(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     images, anns, cats = coco.images(docs), coco.annotations(docs), coco.categories(docs)
     first = cats.filter("export_no = 0").drop("export_no", "pos")
     ids = A.canonical_categories(cats, "export_no", "id", "name")
-    numbered = A.merged([images.filter(F.col("export_no") == i).drop("export_no") for i in range(docs.count())], ["pos"])
+    numbered = A.dense(images, ["pos"])
     rows = anns.join(ids.withColumnRenamed("id", "category_id"), ["export_no", "category_id"])
     rows = rows.join(numbered.select("export_no", F.col("id").alias("image_id"), F.col("new_id").alias("new_image_id")), ["export_no", "image_id"])
-    out = A.merged([rows.filter(F.col("export_no") == i).drop("export_no") for i in range(docs.count())], ["pos"])
-    return numbered, out, first
+    return numbered, A.dense(rows, ["pos"]), first
 
 
 class Clean(NamedTuple):
@@ -134,9 +140,10 @@ class Clean(NamedTuple):
 
 
 def filter_and_canonicalize(docs: DataFrame, keep: Sequence[str] = CLASSES, drop: Sequence[str] = ("ignore object",)) -> Clean:
-    """Images with a kept label and no dropped one, and their kept annotations, renumbered; and the labels that don't occur."""
+    """Images with a kept label and no dropped one, and their kept annotations, renumbered; and the labels that don't occur. docs holds one export."""
+    A.require(docs.filter("export_no <> 0").select("export_no"), "one export at a time is filtered; there are further ones")
     images, anns, cats = coco.images(docs), coco.annotations(docs), coco.categories(docs)
-    rows = anns.join(F.broadcast(cats.select(F.col("id").alias("category_id"), F.col("name").alias("label"))), "category_id")
+    rows = join_small(anns, cats.select("export_no", F.col("id").alias("category_id"), F.col("name").alias("label")), ["export_no", "category_id"], "inner")
     kept = A.images_to_keep(rows, "image_id", "label", keep, drop)
     numbered = A.renumber(A.keep_images(images, "id", kept.withColumnRenamed("image_id", "id")), ["pos"], "new_image_id")
     clean = A.keep_annotations(rows, "image_id", "label", kept, keep).withColumn("new_category_id", A.category_ids(keep)[F.col("label")])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from hashlib import md5
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from tessera.raster import pixels as P
 from tessera.raster import shapes as S
+from tessera.sinks.files import open_fs
 from tessera.sources import png
 
 #: Most overlap of a paste with what is there, tries for a place, least pixels of a scene's components and of a paste.
@@ -38,12 +40,20 @@ class Settings:
 
 @dataclass(frozen=True)
 class Bank:
-    """Patches by component as (name, BGR pixels, mask), classes of components and median areas of classes; of a bounded size."""
+    """Patches by component as (name, BGR pixels, mask), or the paths of both files; classes of components and median areas of classes."""
 
-    patches: dict[str, list[tuple[str, np.ndarray, np.ndarray]]]
+    patches: dict[str, list[tuple[str, np.ndarray | str, np.ndarray | str]]]
     class_of: dict[str, int]
     median_area: dict[int, int]
 
+    def patch(self, component: str, at: int) -> tuple[str, np.ndarray, np.ndarray] | None:
+        """A patch; null if its files can't be read."""
+        name, rgb, mask = self.patches[component][at]
+        if not isinstance(rgb, str):
+            return name, rgb, mask
+        cut = _from_files(rgb, mask)
+        return (name, *cut) if cut else None
+
 
 @dataclass(frozen=True)
 class Pool:
@@ -76,7 +86,7 @@ def extract(rgb: np.ndarray | None, mask: np.ndarray | None) -> tuple[np.ndarray
     if rgb.ndim == 2:
         rgb = np.repeat(rgb[:, :, None], 3, axis=2)
     if mask.ndim == 3:
-        mask = np.rint(P.gray(mask)).astype(np.uint8)
+        mask = P.gray(mask).astype(np.uint8)
     if mask.shape != rgb.shape[:2]:
         mask = P.nearest(mask, rgb.shape[1], rgb.shape[0])
     return cropped(rgb, (mask > 127).astype(np.uint8))
@@ -90,6 +100,21 @@ def cropped(rgb: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rgb[y0:y1, x0:x1], mask[y0:y1, x0:x1]
 
 
+@lru_cache(maxsize=64)
+def _from_files(rgb: str, mask: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """A patch from its two files; a worker remembers the last ones."""
+
+    def read(uri: str) -> np.ndarray | None:
+        fs, at = open_fs(uri)
+        try:
+            with fs.open_input_stream(at) as f:
+                return png.decode(f.read())
+        except OSError:
+            return None
+
+    return extract(read(rgb), read(mask))
+
+
 def box_iou(a: tuple, b: tuple) -> float:
     w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
     if w <= 0 or h <= 0:
@@ -158,7 +183,10 @@ def augment(image: np.ndarray, labels: list[tuple[int, list[float]]], bank: Bank
         median = bank.median_area.get(class_id) if class_id is not None else None
         if not median or not bank.patches[name]:
             continue
-        source, patch, mask = bank.patches[name][int(rng.integers(len(bank.patches[name])))]
+        cut = bank.patch(name, int(rng.integers(len(bank.patches[name]))))
+        if cut is None:
+            continue
+        source, patch, mask = cut
         target = max(PASTE_PIXELS, int(median * (1 + rng.uniform(-settings.jitter, settings.jitter))))
         made = _variant(patch, mask, target, settings, rng)
         if made is None or made[1].shape[0] >= height or made[1].shape[1] >= width:
@@ -187,20 +215,27 @@ PASTES = "array<struct<component_id: string, class_id: int, source_rgb: string,
 AUGMENTED = f"stem string, aug int, png binary, labels array<struct<class_id: int, poly: array<double>>>, n_pasted int, pastes {PASTES}"
 
 
-def augment_table(images: DataFrame, bank: Bank, variants: int, settings: Settings = Settings()) -> DataFrame:
+def augment_table(images: DataFrame, bank: Bank, variants: int, settings: Settings = Settings(), unreadable: str = "skip") -> DataFrame:
     """Variants of each row of (stem, png, labels, region, pool): an image is decoded once for all of its variants.
 
     labels is an array of (class_id, poly); region a PNG or null; pool JSON of mean, std and noise, or null. The bank goes to
-    every worker, so its builder bounds it. Rows come one by one, so memory is that of an image.
+    every worker, so its builder bounds it. Rows are taken from Arrow batches one by one, so pixels in memory are those of an image.
+    Images that can't be decoded have no variants, or with unreadable="fail" are an error; undecodable() lists them, and
+    sources.images reads other formats than PNG.
     """
+    if unreadable not in ("skip", "fail"):
+        raise ValueError("unreadable must be skip or fail")
     context = images.sparkSession.sparkContext
     shared = context.broadcast(bank)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
+            for i in range(b.num_rows):
+                (row,) = b.slice(i, 1).to_pylist()
                 image = png.decode(row["png"])
                 if image is None:
+                    if unreadable == "fail":
+                        raise ValueError(f"the image of {row['stem']} is no PNG that can be decoded")
                     continue
                 region = png.decode(row["region"])
                 pool = Pool(*(np.array(v) for v in json.loads(row["pool"]))) if row["pool"] else None
@@ -218,10 +253,11 @@ def augment_table(images: DataFrame, bank: Bank, variants: int, settings: Settin
 
 
 def bank_of(rows: DataFrame, class_of: dict[str, int], median_area: dict[int, int], max_bytes: int = 512 << 20) -> Bank:
-    """The bank of (component, rgb_path, rgb, mask) rows, PNGs both; over max_bytes is an error, as every worker holds it."""
-    size = rows.agg(F.sum(F.length("rgb") + F.length("mask")).alias("n")).first()["n"] or 0
+    """The bank of (component, rgb_path, rgb, mask) rows, PNGs both; over max_bytes of pixels, by the files' headers, is an error, as every worker holds them. bank_of_paths has no such bound."""
+    side = lambda at: F.conv(F.hex(F.substring("rgb", at, 4)), 16, 10).cast("long")
+    size = rows.agg(F.sum(side(17) * side(21) * 4).alias("n")).first()["n"] or 0
     if size > max_bytes:
-        raise ValueError(f"the mask bank has {size} bytes; at most {max_bytes} go to every worker")
+        raise ValueError(f"the mask bank has {size} bytes of pixels; at most {max_bytes} go to every worker: use bank_of_paths")
     patches: dict[str, list] = {}
     for r in rows.orderBy("component", "rgb_path").toLocalIterator():
         if cut := extract(png.decode(bytes(r["rgb"])), png.decode(bytes(r["mask"]))):
@@ -229,6 +265,21 @@ def bank_of(rows: DataFrame, class_of: dict[str, int], median_area: dict[int, in
     return Bank(patches, class_of, median_area)
 
 
+#: Pairs of paths that a bank by paths may have; they go to every worker.
+MAX_PATHS = 1_000_000
+
+
+def bank_of_paths(rows: DataFrame, class_of: dict[str, int], median_area: dict[int, int]) -> Bank:
+    """The bank of (component, rgb_path, mask_path) rows, however large: workers read a patch's files, which all of them must see, when it is drawn."""
+    found = rows.select("component", "rgb_path", "mask_path").orderBy("component", "rgb_path").limit(MAX_PATHS + 1).collect()
+    if len(found) > MAX_PATHS:
+        raise ValueError(f"a bank has at most {MAX_PATHS} patches")
+    patches: dict[str, list] = {}
+    for r in found:
+        patches.setdefault(r["component"], []).append((r["rgb_path"].rsplit("/", 1)[-1], r["rgb_path"], r["mask_path"]))
+    return Bank(patches, class_of, median_area)
+
+
 @F.arrow_udf(T.BinaryType())
 def region_png(polygons: pa.Array, width: pa.Array, height: pa.Array) -> pa.Array:
     """The mask PNG (0 and 255) of polygons with at least three points, by parity; null without any."""
@@ -239,6 +290,23 @@ def region_png(polygons: pa.Array, width: pa.Array, height: pa.Array) -> pa.Arra
     return pa.array(out, pa.binary())
 
 
+def undecodable(images: DataFrame) -> DataFrame:
+    """The stems of images (stem, png) that can't be decoded."""
+
+    @F.arrow_udf(T.BooleanType())
+    def fine(data: pa.Array) -> pa.Array:
+        return pa.array([png.decode(x.as_py()) is not None for x in data], pa.bool_())
+
+    return images.filter(~fine("png")).select("stem")
+
+
+@F.arrow_udf(T.LongType())
+def mask_pixels(mask: pa.Array) -> pa.Array:
+    """Set pixels of a mask PNG; null if it can't be read."""
+    pixels = (png.decode(x.as_py()) for x in mask)
+    return pa.array([None if p is None else int((p > 0).sum()) for p in pixels], pa.int64())
+
+
 @F.arrow_udf(T.LongType())
 def raster_area(flat: pa.Array, width: pa.Array, height: pa.Array) -> pa.Array:
     """Pixels of a normalised polygon on an image of these sides."""
@@ -278,6 +346,6 @@ def component_partials(image: pa.Array, polygons: pa.Array) -> pa.Array:
         if n < SCENE_PIXELS:
             out.append(None)
             continue
-        lab = P.to_lab(img[mask > 0])
+        lab = P.to_lab8(img[mask > 0])
         out.append({"n": n, "s": lab.sum(axis=0).tolist(), "inner": (lab.var(axis=0) * n).tolist(), "noise": P.noise_of(img, mask)})
     return pa.array(out, pa.struct([("n", pa.int64()), ("s", pa.list_(pa.float64())), ("inner", pa.list_(pa.float64())), ("noise", pa.float64())]))

@@ -99,7 +99,8 @@ def scale_to(img: np.ndarray, mask: np.ndarray, target: int, least: int = 8) ->
 
 
 def gray(bgr: np.ndarray) -> np.ndarray:
-    return bgr.astype(float) @ [0.114, 0.587, 0.299]
+    """Luma rounded to whole levels, as an 8-bit image has it."""
+    return np.floor(bgr.astype(float) @ [0.114, 0.587, 0.299] + 0.5)
 
 
 def laplacian(img: np.ndarray) -> np.ndarray:
@@ -124,6 +125,11 @@ def to_lab(bgr: np.ndarray) -> np.ndarray:
     return np.stack([lightness * 255 / 100, 500 * (f[..., 0] - f[..., 1]) + 128, 200 * (f[..., 1] - f[..., 2]) + 128], axis=-1)
 
 
+def to_lab8(bgr: np.ndarray) -> np.ndarray:
+    """Lab rounded to the 256 levels of an 8-bit image."""
+    return np.clip(np.rint(to_lab(bgr)), 0, 255)
+
+
 def from_lab(lab: np.ndarray) -> np.ndarray:
     lightness, a, b = lab[..., 0] * 100 / 255, lab[..., 1] - 128, lab[..., 2] - 128
     fy = (lightness + 16) / 116
@@ -136,74 +142,85 @@ def from_lab(lab: np.ndarray) -> np.ndarray:
 
 
 def lab_stats(bgr: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and population deviation of each Lab channel over a mask."""
-    px = to_lab(bgr[mask > 0])
+    """Mean and population deviation of each 8-bit Lab channel over a mask."""
+    px = to_lab8(bgr[mask > 0])
     return px.mean(axis=0), px.std(axis=0) + EPSILON
 
 
 def colour_matched(patch: np.ndarray, mask: np.ndarray, mean: np.ndarray, std: np.ndarray) -> np.ndarray:
-    """The patch's masked pixels moved to another mean and deviation in Lab; under 10 of them nothing is done."""
+    """The patch's masked pixels moved to another mean and deviation in 8-bit Lab, cut to whole levels; under 10 of them nothing is done.
+
+    The whole patch takes the way through 8-bit Lab, which moves pixels outside the mask by a level at most.
+    """
     if (mask > 0).sum() < 10:
         return patch
     own_mean, own_std = lab_stats(patch, mask)
-    lab = np.clip((to_lab(patch) - own_mean) / own_std * std + mean, 0, 255)
-    out = patch.copy()
-    out[mask > 0] = from_lab(lab)[mask > 0]
-    return out
+    lab = to_lab8(patch)
+    moved = np.trunc(np.clip((lab - own_mean) / own_std * std + mean, 0, 255))
+    return from_lab(np.where(mask[..., None] > 0, moved, lab))
 
 
 def noise_matched(patch: np.ndarray, mask: np.ndarray, noise: float, rng: np.random.Generator) -> np.ndarray:
-    """The patch with Gaussian noise that raises its own, over all of it, to the scene's."""
+    """The patch with Gaussian noise, drawn for each channel, that raises its own, over all of it, to the scene's; sums are cut to whole levels."""
     own = noise_of(patch)
-    if (mask > 0).sum() < 10 or noise <= own:
+    if noise <= own:
         return patch
-    added = patch + rng.normal(0, np.sqrt(noise**2 - own**2), patch.shape[:2])[:, :, None]
-    out = patch.copy()
-    out[mask > 0] = np.clip(np.rint(added), 0, 255).astype(np.uint8)[mask > 0]
-    return out
+    added = patch + rng.normal(0, np.sqrt(noise**2 - own**2), patch.shape)
+    return np.where(mask[..., None] > 0, np.clip(added, 0, 255).astype(np.uint8), patch)
 
 
 def eroded(mask: np.ndarray, radius: int) -> np.ndarray:
-    """The mask's pixels whose whole disc lies in it; outside the image counts as inside."""
+    """The mask's pixels whose whole ellipse lies in it; outside the image counts as inside.
+
+    The ellipse is as wide in each row as the circle rounded to whole pixels.
+    """
     out = mask > 0
     p = np.pad(out, radius, constant_values=True)
     h, w = mask.shape
     for dy in range(-radius, radius + 1):
-        for dx in range(-radius, radius + 1):
-            if dx * dx + dy * dy <= radius * radius:
-                out = out & p[radius + dy : radius + dy + h, radius + dx : radius + dx + w]
+        reach = int(np.rint(np.sqrt(radius * radius - dy * dy)))
+        for dx in range(-reach, reach + 1):
+            out = out & p[radius + dy : radius + dy + h, radius + dx : radius + dx + w]
     return out
 
 
-def blurred(a: np.ndarray, sigma: float) -> np.ndarray:
-    """A Gaussian blur along both axes, zero outside."""
-    r = max(1, int(np.ceil(3 * sigma)))
-    k = np.exp(-(np.arange(-r, r + 1) ** 2) / (2 * sigma**2))
+def blurred(a: np.ndarray, radius: int, sigma: float) -> np.ndarray:
+    """A Gaussian of 2 radius + 1 pixels along both axes; the border is mirrored without its edge."""
+    k = np.exp(-(np.arange(-radius, radius + 1) ** 2) / (2 * sigma**2))
     k /= k.sum()
     for axis in (0, 1):
-        p = np.pad(a, [(r, r) if i == axis else (0, 0) for i in (0, 1)])
-        a = sum(w * np.take(p, np.arange(i, i + a.shape[axis]), axis=axis) for i, w in enumerate(k))
+        n = a.shape[axis]
+        at = np.abs(np.arange(-radius, n + radius))
+        if n > 1:
+            at = at % (2 * n - 2)
+            at = np.where(at < n, at, 2 * n - 2 - at)
+        p = np.take(a, np.minimum(at, n - 1), axis=axis)
+        a = sum(w * np.take(p, np.arange(i, i + n), axis=axis) for i, w in enumerate(k))
     return a
 
 
 def pasted(background: np.ndarray, patch: np.ndarray, mask: np.ndarray, x: int, y: int, feather: int = 1) -> np.ndarray:
-    """The patch over the background, its edge feathered inwards, so that nothing outside the mask changes."""
-    alpha = (mask > 0).astype(float)
+    """The patch over the background, its edge feathered inwards, so that nothing outside the mask changes; sums, in single precision, are cut to whole levels."""
+    alpha = (mask > 0).astype(np.float32)
     if feather > 0:
-        alpha = blurred(eroded(mask, feather).astype(float), float(feather)) * alpha
+        alpha = blurred(eroded(mask, feather).astype(float), feather, float(feather)).astype(np.float32) * alpha
+    alpha = alpha[..., None]
     h, w = mask.shape
     out = background.copy()
-    under = out[y : y + h, x : x + w].astype(float)
-    out[y : y + h, x : x + w] = np.clip(np.rint(patch * alpha[..., None] + under * (1 - alpha[..., None])), 0, 255).astype(np.uint8)
+    under = out[y : y + h, x : x + w].astype(np.float32)
+    out[y : y + h, x : x + w] = np.clip(patch.astype(np.float32) * alpha + under * (1 - alpha), 0, 255).astype(np.uint8)
     return out
 
 
 def poisson(background: np.ndarray, patch: np.ndarray, mask: np.ndarray, x: int, y: int, least: int = 100, steps: int = 400) -> np.ndarray:
-    """The patch's gradients fitted to the background around it, by conjugate gradients; a feathered paste under `least` pixels or if they don't converge."""
+    """The patch's gradients fitted to the background around it, by conjugate gradients; a feathered paste if the mask has under `least` pixels, or if they don't converge.
+
+    The outermost ring of the patch is the fit's border and stays the background's, even where the mask covers it.
+    """
     h, w = mask.shape
     inner = np.zeros((h, w), bool)
     inner[1:-1, 1:-1] = mask[1:-1, 1:-1] > 0
-    if inner.sum() < least:
+    if (mask > 0).sum() < least or not inner.any():
         return pasted(background, patch, mask, x, y, 3)
     out = background.copy()
     under = out[y : y + h, x : x + w].astype(float)

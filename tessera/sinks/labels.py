@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from tessera.sinks.files import write_files
 
 @F.arrow_udf(T.StringType())
 def c_label(class_id: pa.Array, flat: pa.Array) -> pa.Array:
-    """A label's line with six decimals as C's printf rounds them; null without a polygon."""
+    """A label's line with six decimals as C's printf rounds them; null without a polygon. format_string rounds decimal halves up, C the binary value, so this is Python, in Arrow batches."""
     return pa.array([None if f is None else " ".join([str(c), *("%.6f" % v for v in f)]) for c, f in zip(class_id.to_pylist(), flat.to_pylist(), strict=True)], pa.string())
 
 
@@ -73,14 +74,38 @@ def coco_json(images: DataFrame, annotations: DataFrame, categories: DataFrame,
     return doc.select(F.to_json(F.struct(*more, "images", "annotations", "categories"), {"pretty": "true"}).alias("value"))
 
 
-def augmentation_log(rows: DataFrame, header: dict[str, str], summary: DataFrame) -> DataFrame:
-    """One row: a run's header with its time, its images in order, and its counters, as JSON."""
-    head = F.create_map(*[F.lit(x) for kv in header.items() for x in kv]) if header else F.expr("map()")
-    images = rows.agg(F.sort_array(F.collect_list(F.struct("augmented_image", *[c for c in rows.columns if c != "augmented_image"]))).alias("images")).withColumn("one", F.lit(1))
-    both = images.join(summary.select(F.struct(*summary.columns).alias("summary"), F.lit(1).alias("one")), "one")
-    return both.select(F.to_json(F.struct(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("created_at"), head.alias("parameters"), "images", "summary")).alias("value"))
-
+def augmentation_log(rows: DataFrame, summary: DataFrame, args: dict[str, object], where: dict[str, str], sizes: DataFrame | None = None) -> DataFrame:
+    """One row: a run's log as JSON, with its time, arguments, folders, sizes by class, written variants in order and counters.
 
-def mask_manifest(clips: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row of JSON for each clip of a mask bank."""
-    return clips.select(F.to_json(F.struct(*columns)).alias("value"))
+    sizes has (class, n_samples, median_area, p05_area, p95_area). A log is one document and so one value.
+    """
+    images = rows.agg(F.sort_array(F.collect_list(F.struct("augmented_image", *[c for c in rows.columns if c != "augmented_image"]))).alias("augmented_images"), F.lit(1).alias("one"))
+    both = images.join(summary.select(F.struct(*summary.columns).alias("summary"), F.lit(1).alias("one")), "one")
+    if sizes is not None:
+        each = F.struct(F.col(sizes.columns[0]).cast("string"), F.struct("n_samples", *[F.col(c).alias(f"{c}_px") for c in ("median_area", "p05_area", "p95_area")]))
+        both = both.join(sizes.agg(F.map_from_entries(F.sort_array(F.collect_list(each))).alias("target_areas_per_class"), F.lit(1).alias("one")), "one")
+    else:
+        both = both.withColumn("target_areas_per_class", F.expr("cast(map() AS map<string, string>)"))
+    parsed = lambda v: F.parse_json(F.lit(json.dumps(v)))
+    doc = F.struct(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+        F.lit("Paths are relative to the folder of this file.").alias("_paths_note"),
+        parsed(where).alias("_absolute_at_write_time"),
+        parsed(args).alias("args"),
+        "target_areas_per_class",
+        "augmented_images",
+        "summary",
+    )
+    return both.select(F.to_json(doc, {"pretty": "true"}).alias("value"))
+
+
+#: What a mask bank's manifest says of a clip, in this order (fixed names).
+MANIFEST = ("video_filename", "component_id", "reseat_idx", "output_dir", "video_resolution_wh", "n_frames_extracted", "n_masks_saved", "first_frame_click", "attempts_to_accept")
+
+
+def mask_manifest(clips: DataFrame, where: dict[str, str], args: dict[str, object]) -> DataFrame:
+    """One row: a mask bank's manifest as one JSON document, its clips (columns MANIFEST) by file name."""
+    videos = clips.agg(F.sort_array(F.collect_list(F.struct(*MANIFEST))).alias("videos"))
+    parsed = lambda v: F.parse_json(F.lit(json.dumps(v)))
+    doc = F.struct(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("created_at"), F.lit("Paths are relative to the folder of this file.").alias("_paths_note"), parsed(where).alias("_absolute_at_write_time"), parsed(args).alias("args"), "videos")
+    return videos.select(F.to_json(doc, {"pretty": "true"}).alias("value"))

@@ -100,45 +100,111 @@ def _fields(header: bytes) -> dict[str, bytes]:
 
 def bag_records(f) -> Iterator[tuple[dict[str, bytes], bytes]]:
     """Header and data of each record of a version 2.0 bag, those in chunks included."""
+    _start(f)
+    yield from _records(f)
+
+
+def _start(f) -> None:
     if not f.readline().startswith(b"#ROSBAG V2.0"):
         raise ValueError("no bag of version 2.0")
-    yield from _records(f)
+
+
+def _record(f) -> tuple[dict[str, bytes], bytes] | None:
+    size = f.read(4)
+    if len(size) < 4:
+        return None
+    header = _fields(f.read(struct.unpack("<I", size)[0]))
+    return header, f.read(struct.unpack("<I", f.read(4))[0])
 
 
 def _records(f) -> Iterator[tuple[dict[str, bytes], bytes]]:
-    while len(size := f.read(4)) == 4:
-        header = _fields(f.read(struct.unpack("<I", size)[0]))
-        data = f.read(struct.unpack("<I", f.read(4))[0])
-        if header.get("op") == b"\5":
-            kind = header.get("compression", b"none")
-            if kind not in (b"none", b"bz2"):
-                raise ValueError(f"chunks compressed by {kind.decode()} can't be read")
-            yield from _records(io.BytesIO(bz2.decompress(data) if kind == b"bz2" else data))
+    while record := _record(f):
+        if record[0].get("op") == b"\5":
+            yield from _records(io.BytesIO(_chunk(*record)))
         else:
-            yield header, data
+            yield record
+
+
+def _chunk(header: dict[str, bytes], data: bytes) -> bytes:
+    """What a chunk holds: stored, bz2, or an lz4 frame."""
+    kind = header.get("compression", b"none")
+    if kind == b"none":
+        return data
+    if kind == b"bz2":
+        return bz2.decompress(data)
+    if kind == b"lz4":
+        return pa.decompress(data, struct.unpack("<I", header["size"])[0], codec="lz4", asbytes=True)
+    raise ValueError(f"chunks compressed by {kind.decode()} can't be read")
+
+
+class Chunks(InputPartition):
+    """Chunks of a bag, by their places in the file; none: the whole file, from the front."""
+
+    def __init__(self, path: str, places: tuple[int, ...] | None):
+        super().__init__((path, places))
+        self.path, self.places = path, places
 
 
 class BagReader(DataSourceReader):
+    """Reads runs of chunks by the index at the bag's end, or a bag without an index from the front, in one task."""
+
     def __init__(self, options: dict):
         self.path = options.get("path", "").removeprefix("file://")
+        self.ranges = max(1, int(options.get("ranges", 8)))
 
-    def partitions(self):
-        return [Range(self.path, 0, 0, 0)]
+    def _index(self, f) -> tuple[list[int], dict[bytes, tuple[int, str, str]]]:
+        """Places of the chunks and the connections, by the index; nothing if there is none."""
+        _start(f)
+        first = _record(f)
+        at = struct.unpack("<Q", first[0]["index_pos"])[0] if first and first[0].get("op") == b"\3" else 0
+        if not at:
+            return [], {}
+        f.seek(at)
+        places, topics = [], {}
+        while record := _record(f):
+            header, data = record
+            if header.get("op") == b"\6":
+                places.append(struct.unpack("<Q", header["chunk_pos"])[0])
+            elif header.get("op") == b"\7":
+                topics[header["conn"]] = self._topic(header, data)
+        return places, topics
+
+    @staticmethod
+    def _topic(header: dict[str, bytes], data: bytes) -> tuple[int, str, str]:
+        return struct.unpack("<I", header["conn"])[0], header["topic"].decode(), _fields(data).get("type", b"").decode()
 
-    def read(self, part: Range) -> Iterator[tuple]:
-        topics: dict[bytes, tuple[int, str, str]] = {}
+    def partitions(self):
+        with open(self.path, "rb") as f:
+            places = sorted(self._index(f)[0])
+        if not places:
+            return [Chunks(self.path, None)]
+        step = -(-len(places) // self.ranges)
+        return [Chunks(self.path, tuple(places[i : i + step])) for i in range(0, len(places), step)]
+
+    def read(self, part: Chunks) -> Iterator[tuple]:
         with open(part.path, "rb") as f:
-            for header, data in bag_records(f):
+            topics: dict[bytes, tuple[int, str, str]] = {}
+            if part.places is not None:
+                topics = self._index(f)[1]
+
+            def records() -> Iterator[tuple[dict[str, bytes], bytes]]:
+                if part.places is None:
+                    f.seek(0)
+                    yield from bag_records(f)
+                for place in part.places or ():
+                    f.seek(place)
+                    yield from _records(io.BytesIO(_chunk(*_record(f))))
+
+            for header, data in records():
                 if header.get("op") == b"\7":
-                    inner = _fields(data)
-                    topics[header["conn"]] = struct.unpack("<I", header["conn"])[0], header["topic"].decode(), inner.get("type", b"").decode()
+                    topics[header["conn"]] = self._topic(header, data)
                 elif header.get("op") == b"\2" and header["conn"] in topics:
                     s, ns = struct.unpack("<II", header["time"])
                     yield *topics[header["conn"]], s * 1_000_000_000 + ns, data
 
 
 class BagRecording(DataSource):
-    """format("rosbag1"): the messages of a .bag file, in its order."""
+    """format("rosbag1"): the messages of a .bag file, in its order within a chunk; option ranges: parts of its chunks."""
 
     @classmethod
     def name(cls) -> str:

@@ -1,4 +1,4 @@
-"""Tables in the folder that all executors share."""
+"""Tables in the folder that all executors share, and joins that look at sizes."""
 
 from __future__ import annotations
 
@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: The most rows that are ever sent to all executors.
+BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,3 +37,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark, path = df.sparkSession, fresh_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether df has at most so many rows; counts no further than that."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def join_small(big: DataFrame, side: DataFrame, on: list[str], how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:
+    """big joined with side: broadcast only after counting side's rows, else shuffled, where Spark splits skewed keys."""
+    return big.join(F.broadcast(side) if small(side, rows) else side.hint("merge"), on, how)

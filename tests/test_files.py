@@ -110,6 +110,44 @@ def test_images_of_a_bag(spark, tmp_path):
         recordings.with_images(got, recording="mp4")
 
 
+def bag_with_index(compressions, texts_of):
+    """A bag with an index: one chunk for each compression, and in it the messages that texts_of gives."""
+    import bz2
+
+    import pyarrow as pa
+
+    def header(**kv):
+        h = b"".join(struct.pack("<I", len(k) + 1 + len(v)) + k.encode() + b"=" + v for k, v in kv.items())
+        return struct.pack("<I", len(h)) + h
+
+    def record(data, **kv):
+        return header(**kv) + struct.pack("<I", len(data)) + data
+
+    conn = struct.pack("<I", 0)
+    inner = header(topic=b"/c", type=b"Image")[4:]
+    pack = {b"none": lambda d: d, b"bz2": bz2.compress, b"lz4": lambda d: pa.compress(d, codec="lz4", asbytes=True)}
+    start = lambda at: record(b" " * 64, op=b"\3", index_pos=struct.pack("<Q", at), conn_count=struct.pack("<I", 1), chunk_count=struct.pack("<I", len(compressions)))
+    body, places = b"", []
+    front = len(b"#ROSBAG V2.0\n" + start(0))
+    for k, kind in enumerate(compressions):
+        chunk = record(inner, op=b"\7", conn=conn, topic=b"/c") if k == 0 else b""
+        chunk += b"".join(record(m, op=b"\2", conn=conn, time=struct.pack("<II", 10 * k + i, 0)) for i, m in enumerate(texts_of(k)))
+        places.append(front + len(body))
+        body += record(pack[kind](chunk), op=b"\5", compression=kind, size=struct.pack("<I", len(chunk))) + record(b"", op=b"\4", conn=conn)
+    index = record(inner, op=b"\7", conn=conn, topic=b"/c") + b"".join(record(b"", op=b"\6", chunk_pos=struct.pack("<Q", p)) for p in places)
+    return b"#ROSBAG V2.0\n" + start(front + len(body)) + body + index
+
+
+def test_bags_are_read_by_their_index_in_parts(spark, tmp_path):
+    kinds = [b"none", b"bz2", b"lz4", b"none", b"lz4"]
+    path = tmp_path / "r.bag"
+    path.write_bytes(bag_with_index(kinds, lambda k: [f"m{k}.{i}".encode() for i in range(3)]))
+    recordings.register(spark)
+    got = spark.read.format("rosbag1").option("ranges", 3).load(str(path))
+    assert got.rdd.getNumPartitions() == 3
+    assert sorted((r["timestamp_ns"] // 10**9, bytes(r["data"]), r["topic"]) for r in got.collect()) == [(10 * k + i, f"m{k}.{i}".encode(), "/c") for k in range(5) for i in range(3)]
+
+
 def test_formats_and_paths(tmp_path):
     assert found.recording_format("a/B.BAG") == "rosbag1"
     with pytest.raises(ValueError):
@@ -214,7 +252,7 @@ def test_documents_and_descriptions(spark, tmp_path):
     t = lambda rows, ddl: spark.createDataFrame(rows, ddl)
     doc = json.loads(text.coco_json(t([(2, "b"), (1, "a")], "id long, file_name string"), t([(1, 2)], "id long, image_id long"), t([(1, "x")], "id long, name string")).first()["value"])
     assert [i["id"] for i in doc["images"]] == [1, 2] and doc["categories"][0]["name"] == "x"
-    log = text.augmentation_log(t([("b", 1), ("a", 2)], "augmented_image string, n_pasted int"), {"seed": "0"}, t([(3,)], "n_pastes int"))
+    log = text.augmentation_log(t([("b", 1), ("a", 2)], "augmented_image string, n_pasted int"), t([(3,)], "n_pastes int"), {"seed": 0}, {"out": "/o"})
     assert json.loads(log.first()["value"])["summary"] == {"n_pastes": 3}
     done = text.write_manifests(t([("train", "b"), ("train", "a")], "split string, name string"), str(tmp_path), "split", "name").collect()
     assert done[0]["path"] == "splits/train.txt" and (tmp_path / "splits/train.txt").read_text() == "a\nb\n"
@@ -291,3 +329,48 @@ def test_stream_equals_batch_over_several_files(spark, tmp_path):
     trimmed = sampling.with_offset(df, "r", "t", "o").withColumn("first", F.col("t") - F.col("o")).drop("o")
     want = sampling.stride_sample(sampling.trim(trimmed, "r", "t", 10, 30), "r", "t", "id", 25, F.col("first") + 10)
     assert sorted((x["r"], x["t"], x["sample_no"]) for x in got.collect()) == sorted((x["r"], x["t"], x["sample_no"]) for x in want.collect())
+
+
+def test_late_frames_are_sorted_in_marked_or_an_error(spark):
+    from tessera.streaming import sampler
+
+    def run(tmp, **how):
+        stream = spark.readStream.schema("r long, t long, id long").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(tmp / "in"))
+        kept = sampler.sample(stream, "r", "t", "id", 10, **how)
+        kept.writeStream.format("parquet").option("path", str(tmp / "out")).option("checkpointLocation", str(tmp / "log")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(((x["t"], x["sample_no"]) for x in spark.read.schema(kept.schema).parquet(str(tmp / "out")).collect()), key=str)
+
+    import tempfile
+    import time
+    from pathlib import Path
+
+    def files(*batches):
+        tmp = Path(tempfile.mkdtemp())
+        for k, times in enumerate(batches):
+            spark.createDataFrame([(1, t, t) for t in times], "r long, t long, id long").coalesce(1).write.parquet(str(tmp / "in" / str(k)))
+            time.sleep(0.02)
+        return tmp
+
+    batches = [[0, 10, 30], [20, 40], [50, 60, 100]]
+    assert run(files(*batches), delay=15) == sorted(((10 * k, k) for k in range(7)), key=str)
+    marked = run(files(*batches), late="mark")
+    assert [t for t, n in marked if n is None] == [] or all(t == 20 for t, n in marked if n is None)
+    late = run(files([0, 10, 30, 50], [20, 60], [100]), late="mark")
+    assert [t for t, n in late if n is None] == [20]
+    with pytest.raises(Exception, match="came late"):
+        run(files([0, 10, 30, 50], [20, 60], [100]))
+    with pytest.raises(ValueError):
+        run(files([0]), late="drop")
+
+
+def test_setups_without_their_twin(spark, tmp_path):
+    docs = coco.documents(spark, [export(tmp_path / "a", range(1, 4))])
+    assert runs.unpaired(docs).count() == 0
+    path = tmp_path / "a/annotations/instances.json"
+    doc = json.loads(path.read_text())
+    doc["images"] = [i for i in doc["images"] if i["file_name"] != "2_empty.png"]
+    path.write_text(json.dumps(doc))
+    assert [tuple(r) for r in runs.unpaired(coco.documents(spark, [str(tmp_path / "a")])).collect()] == [(0, "2")]
+    two = coco.documents(spark, [export(tmp_path / k, range(1, 3)) for k in "bc"])
+    with pytest.raises(ValueError, match="one export"):
+        runs.filter_and_canonicalize(two)

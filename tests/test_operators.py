@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -300,3 +301,59 @@ def test_overlapping_pairs_equal_all_pairs(spark, rows):
             if p[0] < q[0] and p[1] == q[1] and w > 0 and h > 0:
                 want.add((p[1], p[0], q[0]))
     assert {(r["g"], r["a"], r["b"]) for r in paste.pairs_iou(boxes, "g", "k", "box").collect()} == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 1), st.integers(0, 300), st.integers(0, 300), st.sampled_from([1, 2, 7, 250]), st.sampled_from([1, 3, 90])), min_size=2, max_size=25))
+def test_free_boxes_equal_all_pairs_for_boxes_of_all_sizes(spark, rows):
+    rows = [(i, g, float(x), float(y), float(x + w), float(y + h)) for i, (g, x, y, w, h) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "k long, g int, a double, b double, c double, d double")
+    boxes = df.select("k", "g", numbers.box(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("box"))
+
+    def overlap(p, q):
+        w, h = min(p[4], q[4]) - max(p[2], q[2]), min(p[5], q[5]) - max(p[3], q[3])
+        i = max(w, 0) * max(h, 0)
+        return i / ((p[4] - p[2]) * (p[5] - p[3]) + (q[4] - q[2]) * (q[5] - q[3]) - i)
+
+    want = [p[0] for p in rows if p[0] % 2 and not any(q[0] % 2 == 0 and q[1] == p[1] and overlap(p, q) > 0.05 for q in rows)]
+    assert sorted(r["k"] for r in paste.free(boxes.filter("k % 2 = 1"), boxes.filter("k % 2 = 0"), "g", "box").collect()) == want
+    pairs = {(r["a"], r["b"]) for r in paste.pairs_iou(boxes, "g", "k", "box").collect()}
+    assert pairs == {(p[0], q[0]) for p in rows for q in rows if p[0] < q[0] and p[1] == q[1] and overlap(p, q) > 0}
+
+
+def test_hot_groups_are_dealt_to_ranges(spark, monkeypatch):
+    """A recording, an export and a class with all rows: the same results from several ranges, and no range has half of them."""
+    from tessera.operators import ranking
+
+    monkeypatch.setattr(ranking.range_bucket, "__defaults__", (ranking.BUCKETS, 50))
+    rng = random.Random(5)
+    times = sorted(rng.sample(range(100_000), 800))
+    frames = spark.createDataFrame([("hot", t, i) for i, t in enumerate(times)] + [("cold", 7, 900), (None, 3, 901), (None, 99_000, 902)], "r string, t long, i long").repartition(5)
+
+    def plain(own, stride):
+        out, target = [], own[0]
+        for t in own:
+            if t >= target:
+                out.append(t)
+                target += stride
+        return out
+
+    for stride in (50, 130, 400):
+        got = sampling.stride_sample(frames, "r", "t", "i", stride).collect()
+        for name, own in (("hot", times), ("cold", [7]), (None, [3, 99_000])):
+            assert [x["t"] for x in sorted((x for x in got if x["r"] == name), key=lambda x: x["sample_no"])] == plain(own, stride)
+    assert sorted(x["t"] for x in sampling.every_nth(frames, "r", "t", "i", 9).filter("r = 'hot'").collect()) == times[::9]
+    placed = sampling._placed(frames, "r", "t", "i")
+    assert max(x["n"] for x in placed.groupBy("r", "__range").agg(F.count("*").alias("n")).collect()) <= 200
+    merged = annotations.merged([frames.select(F.col("i").alias("id")), frames.select((F.col("i") * 2).alias("id"))], ["id"]).collect()
+    assert [x["id"] for x in sorted(merged, key=lambda x: x["new_id"])] == sorted(range(800)) + [900, 901, 902] + [2 * i for i in range(800)] + [1800, 1802, 1804]
+    areas = [rng.choice([5, 5, 5, rng.randrange(1, 10_000)]) for _ in range(700)]
+    sized = spark.createDataFrame([("k", a) for a in areas], "c string, a int")
+    got = stats.size_calibration(sized, "c", F.col("a")).first()
+    want = np.percentile(areas, [50, 5, 95])
+    assert got["n_samples"] == 700 and [got["median_area"], got["p05_area"], got["p95_area"]] == [int(v) for v in want]
+
+
+def test_recordings_without_images(spark):
+    topics = spark.createDataFrame([("a", 1, "/imu", "Imu"), ("b", 1, "/x", "Image"), ("b", 2, "/y", "Imu")], "r string, id int, name string, type string")
+    assert [x["r"] for x in sampling.without_topic(topics, ["r"], "id", "name", F.col("type")).collect()] == ["a"]

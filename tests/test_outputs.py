@@ -9,6 +9,7 @@ from tessera.operators import stats
 from tessera.plans import outputs, runs
 from tessera.raster import augment
 from tessera.sources import coco, png, video
+from tessera.sources import images as found
 from test_files import export
 
 
@@ -59,17 +60,89 @@ def test_an_augmented_dataset_is_written(spark, tmp_path):
     assert pool["n_stems"] == 3 and pool["n_pixels"] == 46 * 46 and 2 < pool["lap_noise"]
     made = outputs.augmented(images, bank, 2, index=index)
     root = str(tmp_path / "aug")
-    got = outputs.write_augmented(made, images, root, augment.Settings()).first()
-    assert (got["n_images"], got["n_positive"], got["n_negative"], got["n_augmented"], got["n_without"]) == (2, 1, 1, 4, 0)
-    log = json.loads((tmp_path / "aug/augmentation_log.json").read_text())
-    assert len(log["images"]) == 4 and log["summary"]["n_pastes"] == got["n_pastes"]
-    for entry in log["images"]:
-        lines = (tmp_path / "aug" / entry["augmented_label"]).read_text().splitlines()
-        assert len(lines) == entry["n_pasted"] + (entry["source_image"] == "a")
-        assert png.decode((tmp_path / "aug" / entry["augmented_image"]).read_bytes()).shape == (150, 150, 3)
+    (tmp_path / "v.png").write_bytes(picture)
+    sizes = spark.createDataFrame([(0, 3, 300, 200, 400)], "class_id int, n_samples long, median_area int, p05_area int, p95_area int")
+    copies = spark.createDataFrame([(str(tmp_path / "v.png"), "images/val/v.png")], "source string, path string")
+    got = outputs.write_augmented(made, images, root, augment.Settings(), 2, sizes=sizes, copies=copies).first().asDict()
+    assert got == {"train_images_total": 2, "train_images_with_labels": 1, "train_images_hard_negatives": 1, "augmentation_attempts": 4, "augmented_images_written": 4, "final_train_image_count": 6}
+    out = tmp_path / "aug"
+    log = json.loads((out / "augmentation_log.json").read_text())
+    assert set(log) == {"created_at", "_paths_note", "_absolute_at_write_time", "args", "target_areas_per_class", "augmented_images", "summary"}
+    assert log["summary"] == got and log["args"]["augs_per_image"] == 2 and log["args"]["blend"] == "alpha" and log["_absolute_at_write_time"]["out_dataset"] == root
+    assert log["target_areas_per_class"] == {"0": {"n_samples": 3, "median_area_px": 300, "p05_area_px": 200, "p95_area_px": 400}}
+    assert {e["augmented_image"] for e in log["augmented_images"]} == {f"images/train/{s}_aug{k}.png" for s in "ab" for k in (0, 1)}
+    for entry in log["augmented_images"]:
+        lines = (out / entry["augmented_label"]).read_text().splitlines()
+        assert len(lines) == entry["n_pasted"] + (entry["source_image"] == "images/train/a.png")
+        assert png.decode((out / entry["augmented_image"]).read_bytes()).shape == (150, 150, 3)
+    # Originals are there, unchanged, a negative with an empty label; so are the files copied along.
+    assert (out / "images/train/a.png").read_bytes() == picture and (out / "images/val/v.png").read_bytes() == picture
+    assert len((out / "labels/train/a.txt").read_text().splitlines()) == 1 and (out / "labels/train/b.txt").read_text() == ""
+    assert "train: images/train" in (out / "dataset.yaml").read_text()
+    assert len(list((out / "images/train").iterdir())) == len(list((out / "labels/train").iterdir())) == 6
     assert outputs.augmented(images, bank, 1, negatives=False).select("stem").distinct().count() == 1
 
 
+def test_a_hundred_variants_are_a_hundred_files(spark, tmp_path):
+    schema = "stem string, aug int, png binary, labels array<struct<class_id: int, poly: array<double>>>, n_pasted int, pastes array<struct<component_id: string>>"
+    made = spark.createDataFrame([("a", k, b"x", [], 1, []) for k in range(101)], schema)
+    outputs.write_augmented(made, made.limit(0).select("stem", "png", "labels"), str(tmp_path / "o"), augment.Settings(), 101)
+    assert len(list((tmp_path / "o/images/train").iterdir())) == 101
+
+
+def test_a_bank_by_paths_gives_the_same_variants(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    rgb, mask = rng.integers(0, 256, (40, 40, 3), dtype=np.uint8), augment.S.fill_parity([[5, 5, 30, 5, 30, 30, 5, 30]], 40, 40) * np.uint8(255)
+    (tmp_path / "f.png").write_bytes(png.encode(rgb))
+    (tmp_path / "f_mask.png").write_bytes(png.encode(mask))
+    paths = spark.createDataFrame([("screw_a", f"{tmp_path}/f.png", f"{tmp_path}/f_mask.png")], "component string, rgb_path string, mask_path string")
+    whole = spark.createDataFrame([("screw_a", "f.png", png.encode(rgb), png.encode(mask))], "component string, rgb_path string, rgb binary, mask binary")
+    image = np.full((150, 150, 3), 90, np.uint8)
+    made = [augment.augment(image, [], b, augment.generator(0, "x", 0)) for b in (augment.bank_of_paths(paths, {"screw_a": 0}, {0: 300}), augment.bank_of(whole, {"screw_a": 0}, {0: 300}))]
+    assert (made[0][0] == made[1][0]).all() and made[0][2] == made[1][2]
+    with pytest.raises(ValueError):
+        augment.bank_of(whole, {}, {}, max_bytes=40 * 40 * 4 - 1)
+    gone = augment.bank_of_paths(paths.withColumn("rgb_path", F.lit(f"{tmp_path}/no.png")), {"screw_a": 0}, {0: 300})
+    assert augment.augment(image, [], gone, augment.generator(0, "x", 0)) is None
+
+
+def test_images_that_cannot_be_decoded_are_no_silent_loss(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    jvm = spark.sparkContext._jvm
+    assert jvm.javax.imageio.ImageIO.write(jvm.java.awt.image.BufferedImage(1, 1, 10), "jpg", jvm.java.io.File(f"{tmp_path}/in/a.jpg"))
+    (tmp_path / "in/b.png").write_bytes(png.encode(np.full((2, 3, 3), [10, 20, 30], np.uint8)))
+    rows = {r["stem"]: r for r in found.read_images(spark, str(tmp_path / "in")).collect()}
+    assert png.decode(bytes(rows["b"]["png"])).tolist() == [[[10, 20, 30]] * 3] * 2 and (rows["a"]["width"], rows["a"]["height"]) == (1, 1)
+    (tmp_path / "in/c.png").write_bytes(b"no image")
+    assert found.read_images(spark, str(tmp_path / "in"), "drop").count() == 2 and found.unreadable_images(spark, str(tmp_path / "in")).count() == 1
+    with pytest.raises(Exception, match="can't be decoded"):
+        found.read_images(spark, str(tmp_path / "in")).collect()
+    bad = spark.createDataFrame([("a", b"no", [], None, None)], "stem string, png binary, labels array<struct<class_id: int, poly: array<double>>>, region binary, pool string")
+    with pytest.raises(Exception, match="no PNG"):
+        augment.augment_table(bad, augment.Bank({}, {}, {}), 1, unreadable="fail").collect()
+    assert [r["stem"] for r in augment.undecodable(bad).collect()] == ["a"]
+
+
+def test_frames_and_a_mask_bank_are_written(spark, tmp_path):
+    from tessera.operators import layout
+
+    pixels = np.random.default_rng(0).integers(0, 256, (4, 6, 3), dtype=np.uint8)
+    frames = spark.createDataFrame([("r_0000_t1.00s.png", (4, 6, pixels.tobytes()))], "file_name string, image struct<height: int, width: int, data: binary>")
+    assert [tuple(r) for r in outputs.write_frames(frames, str(tmp_path / "frames")).collect()] == [("r_0000_t1.00s.png", True)]
+    assert (png.decode((tmp_path / "frames/r_0000_t1.00s.png").read_bytes()) == pixels).all()
+    root, mask = tmp_path / "bank", png.encode(np.ones((4, 6), np.uint8) * np.uint8(255))
+    rows = spark.createDataFrame([("screw_a/01", k, png.encode(pixels), mask) for k in (0, 7, 1_234_567)], "output_dir string, frame_no int, image binary, mask binary")
+    clip = ("screw_a_01.mov", "screw_a", "01", "screw_a/01", [1280, 720], 40, [5, 6], 1)
+    schema = "video_filename string, component_id string, reseat_idx string, output_dir string, video_resolution_wh array<int>, n_frames_extracted int, first_frame_click array<int>, attempts_to_accept int"
+    done = outputs.write_mask_bank(rows, spark.createDataFrame([clip, ("nut_b_01.mov", "nut_b", "01", "nut_b/01", [1280, 720], 40, [1, 1], 2)], schema), str(root), args={"stride": 8})
+    assert done.filter("written").count() == 7
+    manifest = json.loads((root / "manifest.json").read_text())
+    assert [v["n_masks_saved"] for v in manifest["videos"]] == [3] and list(manifest["videos"][0]) == list(outputs.labels.MANIFEST) and manifest["args"] == {"stride": 8}
+    listed = spark.createDataFrame([(str(p.relative_to(root)),) for p in root.rglob("*.png")], "path string")
+    pairs = layout.mask_pairs(listed, "path").collect()
+    assert sorted(r["frame"] for r in pairs) == ["frame_000000", "frame_000007", "frame_1234567"] and {(r["component"], r["clip"]) for r in pairs} == {("screw_a", "01")}
+
+
 def test_calibration_counts_pixels(spark):
     square = [0.0, 0.0, 0.1, 0.0, 0.1, 0.1, 0.0, 0.1]
     train = spark.createDataFrame([(0, square, 100, 100), (0, square, 200, 200)], "class_id int, poly array<double>, width int, height int")

@@ -112,6 +112,69 @@ def test_poisson_keeps_a_flat_patch_on_a_flat_ground():
     assert np.abs(out.astype(int) - 90).max() <= 1
 
 
+def test_feathered_edges_by_hand():
+    # A kernel of three with deviation 1 is 0.27406862, 0.45186276, 0.27406862; the core of a 5 x 5 mask in a cross of one is its 3 x 3.
+    mask = np.zeros((7, 7), np.uint8)
+    mask[1:6, 1:6] = 1
+    core = P.eroded(mask, 1)
+    assert core.sum() == 9 and core[2:5, 2:5].all()
+    alpha = P.blurred(core.astype(float), 1, 1.0)
+    assert alpha[3, 1] == pytest.approx(0.27406862) and alpha[3, 2] == pytest.approx(0.72593138) and alpha[3, 3] == pytest.approx(1) and alpha[1, 1] == pytest.approx(0.27406862**2)
+    back, patch = np.full((7, 7, 3), 10, np.uint8), np.full((7, 7, 3), 200, np.uint8)
+    out = P.pasted(back, patch, mask, 0, 0, 1)
+    # 200 a + 10 (1 - a), cut: 62.07 and 147.93 and 200, and nothing outside.
+    assert out[3, 0, 0] == 10 and out[3, 1, 0] == 62 and out[3, 2, 0] == 147 and out[3, 3, 0] == 200
+
+
+def test_the_ellipse_is_rounded_to_whole_pixels():
+    mask = np.zeros((11, 11), np.uint8)
+    mask[5, 5] = 1
+    hole = P.eroded(1 - mask, 2)
+    # Rows -2, -1, 0, 1, 2 of the element are 1, 5, 5, 5 and 1 wide.
+    assert (~hole).sum(axis=1).tolist() == [0, 0, 0, 1, 5, 5, 5, 1, 0, 0, 0]
+
+
+def test_a_mirrored_border_leaves_its_edge_out():
+    row = np.array([[0.0, 1.0, 0.0, 0.0]])
+    got = P.blurred(row, 1, 1.0)[0]
+    assert got.tolist() == pytest.approx([2 * 0.27406862, 0.45186276, 0.27406862, 0.0])
+
+
+def test_noise_is_drawn_for_each_channel_and_cut():
+    flat, ones = np.full((40, 40, 3), 128, np.uint8), np.ones((40, 40), np.uint8)
+    out = P.noise_matched(flat, ones, 6.0, np.random.default_rng(3))
+    want = np.clip(128 + np.random.default_rng(3).normal(0, 6.0, (40, 40, 3)), 0, 255).astype(np.uint8)
+    assert (out == want).all() and (out[..., 0] != out[..., 1]).any()
+    few = np.zeros((40, 40), np.uint8)
+    few[0, :3] = 1
+    assert (P.noise_matched(flat, few, 6.0, np.random.default_rng(3))[0, :3] == want[0, :3]).all()
+
+
+def test_colours_go_through_whole_levels_of_lab():
+    rng = np.random.default_rng(4)
+    patch, mask = rng.integers(40, 200, (12, 12, 3), dtype=np.uint8), np.zeros((12, 12), np.uint8)
+    mask[2:9, 2:9] = 1
+    lab = P.to_lab8(patch)
+    assert (lab == np.rint(lab)).all()
+    mean, std = lab[mask > 0].mean(axis=0), lab[mask > 0].std(axis=0) + 1e-6
+    assert all(a.tolist() == pytest.approx(b.tolist()) for a, b in zip(P.lab_stats(patch, mask), (mean, std)))
+    target = (np.array([100.0, 128.0, 130.0]), np.array([5.0, 3.0, 3.0]))
+    moved = np.trunc(np.clip((lab - mean) / std * target[1] + target[0], 0, 255))
+    want = P.from_lab(np.where(mask[..., None] > 0, moved, lab))
+    assert (P.colour_matched(patch, mask, *target) == want).all()
+    assert (P.gray(patch) == np.floor(patch @ np.array([0.114, 0.587, 0.299]) + 0.5)).all()
+
+
+def test_poisson_falls_back_by_the_masks_size():
+    rng = np.random.default_rng(5)
+    back, patch = rng.integers(0, 256, (60, 60, 3), dtype=np.uint8), rng.integers(0, 256, (12, 12, 3), dtype=np.uint8)
+    whole = np.ones((12, 12), np.uint8)  # 144 pixels, 100 of them inside
+    assert (P.poisson(back, patch, whole, 5, 5) != P.pasted(back, patch, whole, 5, 5, 3)).any()
+    few = np.zeros((12, 12), np.uint8)
+    few[1:10, 1:12] = 1  # 99
+    assert (P.poisson(back, patch, few, 5, 5) == P.pasted(back, patch, few, 5, 5, 3)).all()
+
+
 def test_resizes_keep_means_and_sizes():
     img = np.random.default_rng(3).integers(0, 256, (40, 60, 3), dtype=np.uint8)
     small = P.area_resize(img, 15, 10)
