@@ -5,12 +5,17 @@ with 16 centroids each. The loss of a vector x with residual r weighs the part o
 much as the rest, since it alone changes inner products with queries that point at x. Assignments and
 centroids are improved in turn, one subspace at a time with the others held, which never raises the loss.
 
-Index: every row is encoded, two four-bit codes to a byte, and dealt into blocks by the hash of its id, so that equal
-vectors spread. Search: the stated queries, in blocks, meet every block of rows. For a pair of blocks
-the queries' table of inner products with all centroids is scanned by the codes; the RERANK best of each query are
-scored exactly in double precision, and the best k go on to one merge by query. Rows of a block with equal codes are
-scanned as one and scored exactly all together: however many copies or close neighbours share a code, they crowd
-nothing out and none is left out. Ties go to the smaller id.
+Index: every row is encoded, two four-bit codes to a byte, and dealt into blocks by the hash of id and vector, so that copies
+spread. Rows are shuffled once, to their block; queries, the small side, go to every block and stream past it. There the query's table of inner products with all
+centroids is scanned by the codes; the RERANK best are scored exactly in double precision, and the best k go on to one merge by
+query. Rows of a block with equal codes are scanned as one and scored exactly all together: however many copies or close
+neighbours share a code, they crowd nothing out and none is left out. Ties go to the smaller id.
+
+Every query meets every row's codes, so work grows as queries times rows: no coarse cells decide what is looked at, and
+recall doesn't depend on how vectors lie. With `probes` the sample also gives coarse cells by k-means, one for each CELL_ROWS
+rows of the table, but at most one for SAMPLE_ROWS rows of the sample. Rows lie in the cell of their nearest centroid, and a
+query goes to the `probes` cells whose centroids have the largest inner products with it, or as many more as hold enough
+candidates. That is for vectors in clusters: measure recall before using it. Memory of a task is a block and a batch of queries.
 
 Edge cases. Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows
 without an id or with another length than the most common one (of those, the longest). A row that repeats is a candidate
@@ -35,9 +40,12 @@ SAMPLE = 20_000
 #: Threshold of the score-aware loss: queries count whose cosine with a vector is at least this.
 COSINE = 0.2
 SUB, CENTROIDS, ROUNDS = 2, 16, 8
-K, RERANK = 20, 400
-#: Rows in a block of the index, and queries in a block.
-ROW_BLOCK, QUERY_BLOCK = 32_768, 4_096
+#: Rows returned, and rows of a block that are scored exactly, for each query.
+K, RERANK = 20, 100
+#: Rows in a coarse cell on average, and rows of the sample for each cell at least.
+CELL_ROWS, SAMPLE_ROWS = 4_096, 32
+#: Most rows in a block of the index; small tables have blocks of a 16th of their rows, but not under 1,024.
+ROW_BLOCK = 32_768
 #: Rows and queries that are scanned at once.
 _ROWS, _QUERIES = 2_048, 128
 
@@ -185,10 +193,39 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     return rows.filter(F.size("v") == (dim["dim"] if dim else 0))
 
 
-def fit(rows: DataFrame, sample: int = SAMPLE) -> Codebook | None:
-    """A codebook from at most `sample` of the usable rows, drawn by the hash of the id; None if there are none."""
+def fit(rows: DataFrame, sample: int = SAMPLE, n_cells: int = 1) -> tuple[Codebook, np.ndarray] | None:
+    """A codebook, and centroids of at most n_cells cells, from at most `sample` of the usable rows, drawn by the hash of the id; None if there are none."""
     got = drawn(rows, F.col("id"), sample).select("v").toPandas()["v"]
-    return train(np.unique(np.stack([np.asarray(x, np.float64) for x in got]), axis=0)) if len(got) else None
+    if not len(got):
+        return None
+    x = np.unique(np.stack([np.asarray(x, np.float64) for x in got]), axis=0)
+    return train(x), cells(x, max(1, min(n_cells, len(x) // SAMPLE_ROWS)))
+
+
+def cells(x: np.ndarray, n: int, rounds: int = ROUNDS, seed: int = 11) -> np.ndarray:
+    """Centroids of n cells by k-means; one that loses all its rows stays where it is."""
+    out = x[np.random.default_rng(seed).choice(len(x), n, replace=False)].copy()
+    for _ in range(rounds if n > 1 else 0):
+        near = nearest(x, out)
+        sums = np.zeros_like(out)
+        np.add.at(sums, near, x)
+        size = np.bincount(near, minlength=n)
+        out[size > 0] = sums[size > 0] / size[size > 0, None]
+    return out
+
+
+def nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each row."""
+    half = (centroids**2).sum(axis=1) / 2
+    return np.concatenate([np.zeros(0, np.int64), *((x[i : i + _ROWS] @ centroids.T - half).argmax(axis=1) for i in range(0, len(x), _ROWS))])
+
+
+def probed(q: np.ndarray, need: np.ndarray, centroids: np.ndarray, size: np.ndarray, probes: int) -> list[np.ndarray]:
+    """For each query its cells, best first: `probes` of those that have rows, and further ones until they hold `need` rows."""
+    full = np.flatnonzero(size)
+    order = full[np.argsort(-(q @ centroids[full].T), axis=1, kind="stable")]
+    enough = (np.cumsum(size[order], axis=1) < need[:, None]).sum(axis=1) + 1
+    return [o[: max(probes, n)] for o, n in zip(order, enough.tolist(), strict=True)]
 
 
 def classes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -199,58 +236,118 @@ def classes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return np.sort(first), members, np.cumsum(size) - size, size
 
 
-def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, rerank: int = RERANK, row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+def search(
+    vectors: DataFrame,
+    is_query: Column,
+    id_col: str = "vec_id",
+    vec_col: str = "embedding",
+    k: int = K,
+    rerank: int = RERANK,
+    sample: int = SAMPLE,
+    cell_rows: int = CELL_ROWS,
+    probes: int | None = None,
+    row_block: int = ROW_BLOCK,
+) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k best rows found for each row that is_query (a condition on `id`) holds for."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
-    book = fit(rows)
-    if book is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     n = rows.count()
-    n_rows, n_queries = -(-n // row_block), -(-rows.filter(is_query).count() // query_block)
+    fitted = fit(rows, sample, -(-n // cell_rows) if probes else 1)
+    if fitted is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    book, centroids = fitted
     dim = book.dim
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            codes = packed(assign(_matrix(b.column(1), dim), book)) if b.num_rows else np.zeros((0, 1), np.uint8)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([c.tobytes() for c in codes], pa.binary())], names=["id", "v", "codes"])
+            x = _matrix(b.column(1), dim)
+            codes = packed(assign(x, book)) if b.num_rows else np.zeros((0, 1), np.uint8)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(nearest(x, centroids).astype(np.int32))], names=["id", "v", "codes", "cell"])
 
     kind = rows.schema["v"].dataType.simpleString()
-    index = stored(rows.mapInArrow(encode, f"id long, v {kind}, codes binary"), "ann-index")
-    index = index.withColumn("row_block", F.pmod(F.xxhash64("id"), F.lit(n_rows)))
-    queries = index.filter(is_query).groupBy("id").agg(F.min("v").alias("v")).withColumn("query_block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(max(1, n_queries))))
-    # Every block of queries meets every block of rows: rows are repeated for each block of queries, of bounded size both.
-    index = index.withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, n_queries - 1)).cast("long"))))
-    queries = queries.withColumn("row_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_rows - 1).cast("long"))))
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, right = left.sort_by("id").combine_chunks(), right.sort_by("id").combine_chunks()
-        if not left.num_rows or not right.num_rows:
-            return _FOUND.empty_table()
-        ids, q_ids = left["id"].to_numpy(), right["id"].to_numpy()
-        x, q = (_matrix(t["v"].combine_chunks(), dim) for t in (left, right))
-        codes = np.frombuffer(b"".join(left["codes"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        first, members, start, size = classes(codes)
-        out = []
-        for a in range(0, len(q), _QUERIES):
-            part, own = q[a : a + _QUERIES], q_ids[a : a + _QUERIES]
-            query, found = scan(part, codes[first], book, rerank)
-            n = size[found]
-            row = members[np.repeat(start[found] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            query = np.repeat(query, n)
-            other = ids[row] != own[query]
-            query, row = query[other], row[other]
-            exact = np.concatenate([np.zeros(0), *((part[query[i : i + _CHUNK]] * x[row[i : i + _CHUNK]]).sum(axis=1) for i in range(0, len(query), _CHUNK))])
-            query, row, exact = _best(query, row, exact, k)
-            out.append((query + a, row, exact))
-        query, row, exact = (np.concatenate(c) for c in zip(*out, strict=True))
-        return pa.Table.from_arrays([pa.array(q_ids[query]), pa.array(ids[row]), pa.array(exact)], schema=_FOUND)
-
-    found = queries.select("id", "v", "row_block", "query_block").groupBy("row_block", "query_block")
-    found = index.select("id", "v", "codes", "row_block", "query_block").groupBy("row_block", "query_block").cogroup(found).applyInArrow(meet, "query_id long, vec_id long, score double")
+    index = stored(rows.mapInArrow(encode, f"id long, v {kind}, codes binary, cell int"), "ann-index")
+    size = np.zeros(len(centroids), np.int64)
+    for r in index.groupBy("cell").agg(F.count("*").alias("n")).collect():  # a row for each cell
+        size[r["cell"]] = r["n"]
+    blocks = -(-size // min(row_block, max(1_024, n // 16)))
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, _ROWS):
+                part = b.slice(i, _ROWS)
+                at = probed(_matrix(part.column(1), dim), part.column(2).to_numpy() + k, centroids, size, probes or 1)
+                which = np.repeat(np.arange(len(at)), [len(x) for x in at])
+                cell = np.concatenate(at)
+                again = np.repeat(np.arange(len(cell)), blocks[cell])
+                block = np.concatenate([np.arange(x) for x in blocks[cell]])
+                found = part.select(["id", "v"]).take(pa.array(which[again]))
+                yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(len(again), pa.binary()), pa.array(cell[again].astype(np.int32)), pa.array(block.astype(np.int32)), pa.array(np.ones(len(again), np.int32))], names=_UNIT)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held, block = None, [], None
+        for b in batches:
+            for part in _runs(b):
+                now = part.column(3)[0].as_py(), part.column(4)[0].as_py()
+                if now != unit:
+                    unit, held, block = now, [], None
+                if not part.column(5)[0].as_py():
+                    held.append(part)
+                    continue
+                if block is None:
+                    block = _Block(held, dim)
+                    held = []
+                for i in range(0, part.num_rows, _QUERIES if block.rows else part.num_rows):
+                    if block.rows:
+                        yield block.answers(part.slice(i, _QUERIES), book, dim, k, rerank)
+
+    dealt = F.broadcast(spark.createDataFrame([(i, int(x)) for i, x in enumerate(blocks)], "cell int, blocks int"))  # a row for each cell
+    in_block = F.pmod(F.xxhash64("id", "v"), "blocks").cast("int")
+    stored_rows = index.join(dealt, "cell").select("id", "v", "codes", "cell", in_block.alias("block"), F.lit(0).alias("kind"))
+    queries = index.filter(is_query).groupBy("id").agg(F.min("v").alias("v"), F.count("*").alias("own"))
+    asked = queries.mapInArrow(probe, f"id long, v {kind}, codes binary, cell int, block int, kind int")
+    both = stored_rows.unionByName(asked).repartition("cell", "block").sortWithinPartitions("cell", "block", "kind", "id")
+    found = both.mapInArrow(meet, "query_id long, vec_id long, score double")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 _CHUNK = 1 << 16
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_UNIT = ["id", "v", "codes", "cell", "block", "kind"]
+
+
+def _runs(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of one cell, block and kind."""
+    if b.num_rows:
+        change = np.zeros(b.num_rows - 1, bool)
+        for c in (3, 4, 5):
+            change |= np.diff(b.column(c).to_numpy()) != 0
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
+        for a, e in zip(cuts, cuts[1:], strict=False):
+            yield b.slice(a, e - a)
+
+
+class _Block:
+    """A block of the index: ids in order, vectors, and the distinct codes with the rows that have them."""
+
+    def __init__(self, parts: list[pa.RecordBatch], dim: int):
+        self.rows = sum(p.num_rows for p in parts)
+        if self.rows:
+            self.ids = np.concatenate([p.column(0).to_numpy() for p in parts])
+            self.x = np.concatenate([_matrix(p.column(1), dim) for p in parts])
+            codes = np.frombuffer(b"".join(c for p in parts for c in p.column(2).to_pylist()), np.uint8).reshape(self.rows, -1)
+            first, self.members, self.start, self.size = classes(codes)
+            self.codes = codes[first]
+
+    def answers(self, queries: pa.RecordBatch, book: Codebook, dim: int, k: int, rerank: int) -> pa.RecordBatch:
+        """The k best rows of the block for each query."""
+        own, q = queries.column(0).to_numpy(), _matrix(queries.column(1), dim)
+        query, found = scan(q, self.codes, book, rerank)
+        n = self.size[found]
+        row = self.members[np.repeat(self.start[found] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        query = np.repeat(query, n)
+        other = self.ids[row] != own[query]
+        query, row = query[other], row[other]
+        exact = np.concatenate([np.zeros(0), *((q[query[i : i + _CHUNK]] * self.x[row[i : i + _CHUNK]]).sum(axis=1) for i in range(0, len(query), _CHUNK))])
+        query, row, exact = _best(query, row, exact, k)
+        return pa.RecordBatch.from_arrays([pa.array(own[query]), pa.array(self.ids[row]), pa.array(exact)], schema=_FOUND)

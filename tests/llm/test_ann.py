@@ -27,10 +27,10 @@ def truth(ids, x, queries, k=20):
     return out
 
 
-@pytest.mark.parametrize(("rows", "queries"), [(65_536, 4096), (700, 40)])
-def test_recall(spark, vectors, rows, queries):
+@pytest.mark.parametrize("how", [{}, {"row_block": 70}, {"cell_rows": 100, "probes": 12}])
+def test_recall(spark, vectors, how):
     ids = list(range(len(vectors)))
-    got = ann.search(frame(spark, ids, vectors), F.col("id") % 20 == 0, row_block=rows, query_block=queries, rerank=100).collect()
+    got = ann.search(frame(spark, ids, vectors), F.col("id") % 20 == 0, rerank=100, **how).collect()
     want = truth(ids, vectors, ids[::20])
     found = {}
     for r in got:
@@ -89,6 +89,26 @@ def test_equal_vectors_keep_the_smallest_ids(spark):
         assert sorted(r["vec_id"] for r in got if r["query_id"] == q) == [i for i in range(21) if i != q][:20]
 
 
+def test_cells_that_are_probed_hold_enough_rows():
+    q, centroids = np.array([[1.0, 0.0], [0.0, 1.0]]), np.array([[1.0, 0.0], [0.5, 0.5], [0.0, 1.0], [9.0, 9.0]])
+    got = ann.probed(q, np.array([1, 12]), centroids, np.array([3, 5, 6, 0]), 1)
+    assert [x.tolist() for x in got] == [[0], [2, 1, 0]]
+
+
+def test_rows_are_shuffled_once_however_many_queries(spark, vectors):
+    few = ann.search(frame(spark, range(3000), vectors), F.col("id") == 0, cell_rows=100, probes=2)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "Generate" not in plan
+    assert few.count() == 20
+
+
+def test_a_hot_id_is_spread_and_still_answered(spark, vectors):
+    ids = [0] * 1500 + list(range(1, 1501))
+    got = ann.search(frame(spark, ids, vectors), F.col("id") % 20 == 0, row_block=50, cell_rows=100, probes=1).collect()
+    assert sorted(r["rank"] for r in got if r["query_id"] == 0) == list(range(1, 21))
+    assert all(r["vec_id"] for r in got if r["query_id"] == 0)
+
+
 def test_classes_of_equal_rows():
     x = np.array([[3.0, 1], [1, 1], [3, 1], [0, 2], [1, 1], [1, 1]])
     first, members, start, size = ann.classes(x)
