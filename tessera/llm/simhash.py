@@ -3,14 +3,16 @@
 Fingerprint: 64 bits by majority over the XXH64 (seed 42) of word shingles. Two fingerprints link when
 they differ in at most 3 bits.
 
-Candidates. Three differing bits leave at least two of five bit blocks alike, so each distinct fingerprint
-enters ten groups, one for each pair of blocks. (Blocks are pivot coordinates too: the distances to a zero
+Candidates. Three differing bits leave at least n - 3 of n bit blocks alike, so each distinct fingerprint enters a group for
+each choice of n - 3 blocks. More blocks make more groups that agree in more bits: 10 groups of some 26 bits for n = 5, 20 of 32
+for n = 6, 35 of 37 for n = 7. n follows from the number of fingerprints, so that groups don't grow with the table; the
+links are the same. (Blocks are pivot coordinates too: the distances to a zero
 reference and to one reference per bit give the block's bits.) In a group every fingerprint has a row of a
 pivot table: its distances to PIVOTS random reference fingerprints. By the triangle inequality a pair
 whose rows differ by more than 3 in any coordinate can't link; such pairs are discarded, the rest are
 verified. In small groups every surviving pair is a link; a large group gives a spanning forest, which
 joins the same fingerprints without naming all pairs. A group over HOT_GROUP is split once more by three
-of six blocks of its free bits; what remains has at most 2**20 members by construction.
+of six blocks of its free bits, at most 38; what remains has at most 2**20 members by construction.
 
 Copies never meet: they share one distinct fingerprint. Nothing but counts reaches the driver.
 
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import overlap
-from tessera.llm.common import stored
+from tessera.llm.common import small, stored
 from tessera.llm.components import star_components
 
 SHINGLE = 3
@@ -43,8 +45,8 @@ PIVOTS = 32
 SMALL_GROUP = 48
 #: Groups above this size are split by further bits before they are gathered.
 HOT_GROUP = 20_000
-#: Bit blocks as (shift, width).
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+#: Fingerprints up to which five, and six, blocks leave few in a group by chance.
+FIVE, SIX = 1 << 27, 1 << 34
 _CHUNK = 1 << 16
 
 
@@ -87,21 +89,42 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("fingerprint", T.LongType())]))
 
 
-def block_keys(fp: str = "fingerprint") -> list:
-    """Ten longs for a fingerprint: the bits of two of the five blocks, after the pair's number."""
-    part = [F.shiftrightunsigned(fp, s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in BLOCKS]
-    return [F.lit(k << 26) + F.shiftleft(part[i], 13) + part[j] for k, (i, j) in enumerate(combinations(range(5), 2))]
+def blocks_for(n: int) -> int:
+    """How many blocks n distinct fingerprints are cut into."""
+    return 5 if n <= FIVE else 6 if n <= SIX else 7
 
 
-def _fine_keys(key: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _blocks(n_blocks: int) -> list[tuple[int, int]]:
+    """Bit blocks as (shift, width)."""
+    cuts = [64 * b // n_blocks for b in range(n_blocks + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def block_keys(n_blocks: int, fp: str = "fingerprint") -> list:
+    """A long for each choice of all but MAX_BITS of a fingerprint's blocks: their bits, after the choice's number."""
+    part = [F.shiftrightunsigned(fp, s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in _blocks(n_blocks)]
+    out = []
+    for k, kept in enumerate(combinations(range(n_blocks), n_blocks - MAX_BITS)):
+        key = F.lit(k).cast("long")
+        for b in kept:
+            key = F.shiftleft(key, _blocks(n_blocks)[b][1]) + part[b]
+        out.append(F.lit(k << _NUMBER) + key.bitwiseAND(F.lit((1 << _NUMBER) - 1)))
+    return out
+
+
+#: Bits of a key below the number of its choice of blocks.
+_NUMBER = 48
+
+
+def _fine_keys(key: np.ndarray, fp: np.ndarray, n_blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For members of hot groups: (key, fine key, fingerprint), 20 rows each: three of six blocks of the free bits."""
     keys, fine, fps = [], [], []
-    pairs = list(combinations(range(5), 2))
-    number = key >> 26
+    kept = list(combinations(range(n_blocks), n_blocks - MAX_BITS))
+    number = key >> _NUMBER
     for k in np.unique(number):
         at = number == k
         free, width = np.zeros(at.sum(), np.uint64), 0
-        for s, w in (BLOCKS[b] for b in range(5) if b not in pairs[k]):
+        for s, w in (_blocks(n_blocks)[b] for b in range(n_blocks) if b not in kept[k]):
             free |= ((fp[at] >> np.uint64(s)) & np.uint64((1 << w) - 1)) << np.uint64(width)
             width += w
         cuts = [width * c // 6 for c in range(7)]
@@ -119,6 +142,24 @@ def pivot_table(fps: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
     return np.bitwise_count(fps[:, None] ^ refs[None, :]).astype(np.int8)
 
 
+def pair_counts(fps: np.ndarray, n_blocks: int = 5) -> tuple[int, int, int]:
+    """For distinct fingerprints (uint64): pairs that groups make, that no pivot discards, and that verify; a pair counts in each of its groups."""
+    made = left = near = 0
+    for kept in combinations(_blocks(n_blocks), n_blocks - MAX_BITS):
+        mask = np.uint64(sum(((1 << w) - 1) << s for s, w in kept))
+        order = np.argsort(fps & mask, kind="stable")
+        f = fps[order]
+        same = np.flatnonzero(np.concatenate([[True], (f[1:] ^ f[:-1]) & mask != 0]))
+        for a, n in zip(same, np.diff(np.append(same, len(f))), strict=True):
+            if n > 1:
+                i, j = np.triu_indices(n, 1)
+                table = pivot_table(f[a : a + n])
+                ok = np.abs(table[i] - table[j]).max(axis=1) <= MAX_BITS
+                made, left = made + len(i), left + int(ok.sum())
+                near += int((np.bitwise_count(f[a + i[ok]] ^ f[a + j[ok]]) <= MAX_BITS).sum())
+    return made, left, near
+
+
 def _survivors(table: np.ndarray, fps: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that no pivot discards and that verify."""
     for k in range(table.shape[1]):
@@ -211,18 +252,17 @@ def _links_of(n_keys: int):
     return run
 
 
-def links(distinct: DataFrame, hot: int = HOT_GROUP) -> DataFrame:
+def links(distinct: DataFrame, hot: int = HOT_GROUP, n_blocks: int | None = None) -> DataFrame:
     """Links (a, b), a > b, among the distinct fingerprints of column `fingerprint`; enough of them to join all that link."""
-    keyed = distinct.select(F.explode(F.array(*block_keys())).alias("key"), "fingerprint")
-    # A key counts as hot above a bound that grows with the table, so that hot keys are at most 50,000.
-    bound = max(hot, distinct.count() // 5_000)
-    hot_keys = keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > bound).select("key")
-    hot_keys = F.broadcast(stored(hot_keys, "simhash-hot-keys"))
+    n_blocks = n_blocks or blocks_for(distinct.count())
+    keyed = distinct.select(F.explode(F.array(*block_keys(n_blocks))).alias("key"), "fingerprint")
+    hot_keys = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("key"), "simhash-hot-keys")
+    hot_keys = F.broadcast(hot_keys) if small(hot_keys) else hot_keys
 
     def fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                k, f, fp = _fine_keys(b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64))
+                k, f, fp = _fine_keys(b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64), n_blocks)
                 yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(f), pa.array(fp.view(np.int64))], names=["key", "fine", "fingerprint"])
 
     cold = keyed.join(hot_keys, "key", "left_anti").repartition("key").sortWithinPartitions("key", "fingerprint")

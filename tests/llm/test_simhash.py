@@ -1,3 +1,4 @@
+import os
 import re
 
 import numpy as np
@@ -5,7 +6,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import simhash
+from tessera.llm import catalog, simhash
+
+SF = "/root/testdata/sf0.001"
 
 
 def plain(text):
@@ -48,8 +51,8 @@ def near(rng, centre, n, bits):
     return {int(centre) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, bits + 1), replace=False)) for _ in range(n)}
 
 
-@pytest.mark.parametrize(("hot", "small"), [(20_000, 48), (8, 48), (20_000, 2), (8, 2)])
-def test_links_join_the_same_as_all_pairs(spark, monkeypatch, hot, small):
+@pytest.mark.parametrize(("hot", "small", "blocks"), [(20_000, 48, 5), (8, 48, 5), (20_000, 2, 6), (8, 2, 7), (8, 48, 6)])
+def test_links_join_the_same_as_all_pairs(spark, monkeypatch, hot, small, blocks):
     monkeypatch.setattr(simhash, "SMALL_GROUP", small)
     rng = np.random.default_rng(3)
     values = set()
@@ -58,7 +61,7 @@ def test_links_join_the_same_as_all_pairs(spark, monkeypatch, hot, small):
     values = sorted(values)
     root = brute(values)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    got = simhash.star_components(simhash.links(spark.createDataFrame([(v,) for v in signed], "fingerprint long"), hot)).collect()
+    got = simhash.star_components(simhash.links(spark.createDataFrame([(v,) for v in signed], "fingerprint long"), hot, blocks)).collect()
     mine = {r["node"]: r["root"] for r in got}
     by = {}
     for v, r in zip(signed, root, strict=True):
@@ -66,6 +69,16 @@ def test_links_join_the_same_as_all_pairs(spark, monkeypatch, hot, small):
     assert all(len(x) == 1 for x in by.values()) and len({next(iter(x)) for x in by.values()}) == len(by)
 
 
+def test_blocks_follow_the_count_and_pivots_do_the_discarding():
+    assert [simhash.blocks_for(n) for n in (0, 1 << 27, 1 << 28, 1 << 35)] == [5, 5, 6, 7]
+    rng = np.random.default_rng(8)
+    centre = rng.integers(0, 1 << 64, 3, dtype=np.uint64)
+    fps = np.array(sorted(near(rng, centre[0], 60, 3) | near(rng, centre[1], 60, 9) | {int(centre[2])}), np.uint64)
+    for n in (5, 6, 7):
+        made, left, verified = simhash.pair_counts(fps, n)
+        assert made >= left >= verified > 0 and made > left
+
+
 def test_pivots_discard_no_link():
     rng = np.random.default_rng(4)
     a = rng.integers(0, 1 << 64, 500, dtype=np.uint64)
@@ -124,3 +137,15 @@ def test_a_large_group_gives_a_forest():
 def test_only_id_and_text_are_read(spark, odd):
     plan = simhash.fingerprints(odd.withColumn("n", F.rand())).columns
     assert plan == ["doc_id", "fingerprint"]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
+def test_the_query_equals_all_pairs(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    values = [plain(r["text"]) for r in rows]
+    root = brute(values)
+    least = {}
+    for r, k in zip(rows, root, strict=True):
+        least[k] = min(least.get(k, r["doc_id"]), r["doc_id"])
+    want = sorted((r["doc_id"], f"{v:016x}", least[k]) for r, v, k in zip(rows, values, root, strict=True))
+    assert sorted((r["doc_id"], r["fingerprint"], r["component_id"]) for r in catalog.op1_simhash(spark, SF).collect()) == want
