@@ -1,6 +1,6 @@
 """Sharding by proportional stratified interleaving, in DataFrame expressions alone.
 
-Within each source rows are ordered by a seeded hash; the row of rank r among n gets the fractional rank
+Within each source rows are ordered by a seeded hash of all their columns, the id first; the row of rank r among n gets the fractional rank
 (r + 0.5) / n. All rows sorted by fractional rank interleave the sources in proportion, and cutting that order
 into equal pieces gives every shard the mixture and row counts at most one apart.
 
@@ -8,8 +8,8 @@ No rank is taken in one task: rows are ranked within a hash bucket of a source,
 fractional rank, and the sums of the buckets before are added. A source with a third of all rows is spread over all
 of its buckets.
 
-Edge cases. Null sources make one source. Null ids and texts are ordered like any value. Rows equal in every
-column are interchangeable, so their order makes no difference. Shards beyond the number of rows stay empty.
+Edge cases. Null sources make one source. Null ids and texts are ordered like any value; rows without an id, or with the same
+one, are spread by their other columns. Rows equal in every column are interchangeable, so their order makes no difference; they share a bucket. Shards beyond the number of rows stay empty.
 An empty table gives no rows. Columns that clash with the operator's own make its get an underscore in front.
 """
 
@@ -31,10 +31,10 @@ def interleave(docs: DataFrame, n_shards: int, source_col: str = "source", id_co
     if n_shards < 1:
         raise ValueError("at least one shard is needed")
     shard, slot = unused(docs, "shard", "slot")
-    h = F.conv(F.substring(F.md5(key_text(F.lit(seed), F.col(id_col))), 1, 13), 16, 10).cast("long")
-    rows = docs.withColumns({"__source": key_text(F.col(source_col)), "__h": h}).withColumn("__bucket", F.floor(F.col("__h") / F.lit(2**52 // BUCKETS)))
-    # Rows that agree in id are told apart by all other columns that have an order.
+    # Rows that agree in id are told apart by all other columns that have an order, and so dealt to different buckets.
     ties = [c for c, t in docs.dtypes if c != id_col and not t.startswith("map") and t != "variant"]
+    h = F.conv(F.substring(F.md5(key_text(F.lit(seed), F.col(id_col), *[F.col(c) for c in ties])), 1, 13), 16, 10).cast("long")
+    rows = docs.withColumns({"__source": key_text(F.col(source_col)), "__h": h}).withColumn("__bucket", F.floor(F.col("__h") / F.lit(2**52 // BUCKETS)))
 
     n = rows.groupBy("__source", "__bucket").agg(F.count("*").alias("__n"))
     upto = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -80,10 +80,10 @@ def test_mixing_odd_rows(spark, odd, none):
     assert mixing.mix(none, mixing.rates(none)).count() == 0
 
 
-def plain_shards(rows, n_shards):
+def plain_shards(rows, n_shards, more=lambda i, s: f"{'n' if s is None else 'v' + s}\x1fvtext"):
     by = collections.defaultdict(list)
     for i, s in rows:
-        by["n" if s is None else "v" + s].append((int(hashlib.md5(f"v{sharding.SEED}\x1fv{i}".encode()).hexdigest()[:13], 16), i))
+        by["n" if s is None else "v" + s].append((int(hashlib.md5(f"v{sharding.SEED}\x1fv{i}\x1f{more(i, s)}".encode()).hexdigest()[:13], 16), i))
     order = sorted(((r + 0.5) / len(v), s, i) for s, v in by.items() for r, (_, i) in enumerate(sorted(v)))
     n = len(order)
     return {i: ((p * n_shards) // n, p - ((p * n_shards) // n * n + n_shards - 1) // n_shards) for p, (_, _, i) in enumerate(order)}
@@ -127,3 +127,11 @@ def test_range_counts_equal_counting(spark, sizes):
     want = collections.Counter(math.floor((r + 0.5) / n * sharding.BUCKETS) for n in sizes for r in range(n))
     got = sharding._range_counts(spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(sizes)], "__source string, __size long")).collect()
     assert {r["__range"]: r["__n"] for r in got if r["__n"]} == dict(want)
+
+
+def test_rows_without_an_id_are_spread(spark):
+    d = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("hot").alias("source"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    rows = sharding.interleave(d, 8).collect()
+    assert sorted((r["shard"], r["slot"]) for r in rows) == [(s, k) for s in range(8) for k in range(375)]
+    h = F.md5(sharding.key_text(F.lit(sharding.SEED), F.col("doc_id"), F.col("source"), F.col("text")))
+    assert d.select(F.substring(h, 1, 3)).distinct().count() > 1500
