@@ -39,7 +39,8 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
-    return chat.digests(chat.format_turns(turns.unionByName(ours)))
+    events = chat.as_streams(chat.as_events(turns.unionByName(ours)))  # deltas, edits and regenerations, to be folded
+    return chat.digests(chat.render(chat.fold(events)))
 
 
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,24 @@ def as_events(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     )
 
 
+def as_streams(events: DataFrame, streamed: str = "assistant") -> DataFrame:
+    """A log of `message` events as a live one would have them; it folds to the same messages.
+
+    A message of the streamed role is opened empty, begun, regenerated and streamed in three deltas; any other is drafted and
+    then edited. seq becomes a struct of the message's and the event's place in it.
+    """
+    text, n = F.coalesce("text", F.lit("")), F.char_length(F.coalesce("text", F.lit("")))
+    third = F.floor(n / 3).cast("int")
+    no = F.lit(None).cast("string")
+    event = lambda at, kind, said: F.struct(F.lit(at).alias("at"), F.lit(kind).alias("kind"), said.alias("text"))
+    live = [event(0, "message", no), event(1, "delta", F.substring(text, F.lit(1), third)), event(2, "regenerate", no)]
+    live += [event(3 + k, "delta", F.substring(text, third * k + 1, third if k < 2 else n)) for k in range(3)]
+    drafted = [event(0, "message", F.substring(text, F.lit(1), third)), event(1, "edit", text)]
+    parts = F.when(F.col("role") == streamed, F.array(*live)).otherwise(F.array(*drafted))
+    rows = events.select("conv", "message", "seq", "role", F.explode(parts).alias("e"))
+    return rows.select("conv", "message", F.struct("seq", "e.at").alias("seq"), "e.kind", F.when(F.col("e.at") == 0, F.col("role")).alias("role"), "e.text")
+
+
 def by_conversation(events: DataFrame) -> DataFrame:
     """An event log partitioned by conversation, as as_events() gives it; fold() and render() then need no further shuffle."""
     return events.repartition("conv")
@@ -64,7 +82,7 @@ def by_conversation(events: DataFrame) -> DataFrame:
 def fold(events: DataFrame) -> DataFrame:
     """Final messages (conv, message, seq, role, text) of an event log (conv, message, seq, kind, role, text).
 
-    seq is that of the message's first event. Events of one message with equal seq are ordered by kind, then text.
+    seq is that of the message's first event. Events of one message with equal seq are ordered by kind, then role, then text.
     """
     # 'message' before 'delta' at one seq, so that a stream may open and start at once.
     rank = F.when(F.col("kind") == "message", 0).when(F.col("kind") == "regenerate", 1).when(F.col("kind") == "edit", 2).when(F.col("kind") == "delta", 3).when(F.col("kind") == "delete", 4)

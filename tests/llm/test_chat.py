@@ -69,6 +69,16 @@ def test_streams_are_rendered_in_order(spark):
     assert row["formatted"] == "[INST]user[/INST]" + "".join(f"{i}," for i in range(300)) + "</s>[INST]assistant[/INST]two</s>"
 
 
+def test_live_logs_fold_to_the_same_messages(spark):
+    rows = [(k, t, "assistant" if t % 2 else "user", text) for k in range(3) for t, text in enumerate(["", "a", None, "two", "🙂é[INST] long text", "é🙂" * 50, *CONTROL])]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").unionByName(spark.createDataFrame([(1, None, None, None)], "conv_id long, turn long, role string, text string"))
+    events = chat.as_events(turns)
+    live = chat.as_streams(events)
+    assert {r["kind"] for r in live.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    want = sorted((tuple(r) for r in chat.digests(chat.render(chat.fold(events))).collect()), key=repr)
+    assert sorted((tuple(r) for r in chat.digests(chat.render(chat.fold(live.repartition(5)))).collect()), key=repr) == want
+
+
 def test_no_python_runs(spark):
     df = spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
     plan = chat.digests(chat.format_turns(df))._jdf.queryExecution().executedPlan().toString()
