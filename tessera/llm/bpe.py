@@ -45,6 +45,11 @@ class Bpe:
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}
         if model.get("type") != "BPE" or pre.get("type") != "ByteLevel" or spec.get("normalizer") or pre.get("add_prefix_space"):
             raise ValueError("a byte-level BPE file without normalizer and prefix space is needed")
+        odd = [k for k in ("ignore_merges", "dropout", "byte_fallback", "continuing_subword_prefix", "end_of_word_suffix") if model.get(k)]
+        odd += [] if pre.get("use_regex", True) else ["use_regex"]
+        odd += [f"{k} of {t['content']}" for t in spec.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word") if t.get(k)]
+        if odd or (spec.get("decoder") or {}).get("type") != "ByteLevel":
+            raise ValueError(f"not supported: {', '.join(odd) or 'another decoder than ByteLevel'}")
         self.vocab: dict[str, int] = model["vocab"]
         letters = byte_letters()
         self.byte_id = [self.vocab[x] for x in letters]

@@ -58,6 +58,23 @@ def test_other_kinds_of_files_are_refused():
         bpe.Bpe(bpe._spec(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def test_settings_that_would_change_ids_are_refused():
+    import json
+
+    spec = json.loads(bpe._spec(PATH))
+    small = spec | {"model": spec["model"] | {"merges": []}}
+    bpe.Bpe(json.dumps(small))
+    for change in (
+        {"model": small["model"] | {"ignore_merges": True}},
+        {"model": small["model"] | {"dropout": 0.1}},
+        {"pre_tokenizer": spec["pre_tokenizer"] | {"use_regex": False}},
+        {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]},
+        {"decoder": {"type": "WordPiece"}},
+    ):
+        with pytest.raises(ValueError, match="not supported"):
+            bpe.Bpe(json.dumps(small | change))
+
+
 def test_odd_rows(spark, odd, none):
     rows = sorted(((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in bpe.digests(odd, PATH).collect()), key=repr)
     expected = []
