@@ -1,27 +1,14 @@
-"""What the operators share: tables in the shared folder, size-checked joins, text keys."""
+"""What the operators share: samples, text keys, draws and free names, and the tables and joins of the core."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.tables import fresh_dir, shared_dir, stored
+from tessera.tables import BROADCAST_ROWS, fresh_dir, join_small, shared_dir, small, stored
 
 __all__ = ["BROADCAST_ROWS", "drawn", "fresh_dir", "join_small", "key_text", "shared_dir", "small", "stored", "unit", "unused"]
 
-#: The most rows that are ever sent to all executors.
-BROADCAST_ROWS = 100_000
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most so many rows; counts no further than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def join_small(big: DataFrame, side: DataFrame, on: list[str], how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """big joined with side: broadcast only after counting side's rows, else shuffled, where Spark splits skewed keys."""
-    return big.join(F.broadcast(side) if small(side, rows) else side.hint("merge"), on, how)
-
 
 def drawn(rows: DataFrame, key: Column, n: int) -> DataFrame:
     """At most n rows, those of the smallest hashes of the key: a draw by hash thins rows to little over n before any are sorted together."""
