@@ -62,6 +62,9 @@ def to_do(work: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
 
 
 def source_index(stems: DataFrame, stem_col: str, group: str, order: Column) -> tuple[DataFrame, DataFrame]:
-    """(stem, group), the last group of a stem in order, and (group, stems) sorted."""
+    """(stem, group), the last group of a stem in order, and (group, stems) sorted.
+
+    The second is the index as its document has it: a group's stems are one value, in one task. For groups of any size use the first.
+    """
     of_stem = last_by_rank(stems, [stem_col], F.col(group), order, group)
     return of_stem, of_stem.groupBy(group).agg(F.array_sort(F.collect_list(stem_col)).alias("stems"))
