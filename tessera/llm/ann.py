@@ -164,8 +164,11 @@ def scan(q: np.ndarray, codes: np.ndarray, book: Codebook, keep: int = RERANK) -
             s = t[0][c[:, 0]]
             for k in range(1, c.shape[1]):
                 s += t[k][c[:, k]]
-            # Rows come in the order of their ids, so one that only equals the floor has enough before it.
-            r, query = np.nonzero(s > floor[None, :])
+            if b == 0 and len(c) > keep:
+                r, query = np.nonzero(s >= np.partition(s, len(c) - keep, axis=0)[len(c) - keep])
+            else:
+                # Rows come in the order of their ids, so one that only equals the floor has enough before it.
+                r, query = np.nonzero(s > floor[None, :])
             fresh.append((query, r + b, s[r, query]))
             if sum(len(x[0]) for x in fresh) > 4 * keep * t.shape[2] or b == 0:
                 held = _best(*(np.concatenate(x) for x in zip(held, *fresh, strict=True)), keep)
