@@ -19,12 +19,12 @@ def hash_bucket(number: Column, buckets: int = BUCKETS) -> Column:
     return F.floor(number / F.lit(2**52 // buckets))
 
 
-def range_bucket(df: DataFrame, column: Column, buckets: int = BUCKETS, rows: int = BUCKET_ROWS) -> Column:
-    """A bucket by ranges of a numeric column, of about `rows` rows, or more beyond `buckets`; only bounds reach the driver."""
+def range_bucket(df: DataFrame, column: Column, buckets: int = BUCKETS, rows: int = BUCKET_ROWS) -> Column | None:
+    """A bucket by ranges of a numeric column, of about `rows` rows, or more beyond `buckets`; only bounds reach the driver. None if one is enough for all rows."""
     n = df.count()
     wanted = min(buckets, n // rows + 1)
     if wanted == 1:
-        return F.lit(0).cast("long")
+        return None
     at = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     bounds = df.agg(F.percentile_approx(column, at, F.lit(4 * buckets))).first()[0]
     return _bisected(column, sorted({bounds[i * buckets // wanted - 1] for i in range(1, wanted)} if bounds else []))
@@ -38,13 +38,19 @@ def _bisected(column: Column, bounds: list, below: int = 0) -> Column:
     return F.when(column > bounds[mid], _bisected(column, bounds[mid + 1 :], below + mid + 1)).otherwise(_bisected(column, bounds[:mid], below))
 
 
-def ranked(df: DataFrame, order: list[Column | str], bucket: Column, name: str, group: tuple[str, ...] = (), size: str | None = None, weight: Column | None = None) -> DataFrame:
+def ranked(df: DataFrame, order: list[Column | str], bucket: Column | None, name: str, group: tuple[str, ...] = (), size: str | None = None, weight: Column | None = None) -> DataFrame:
     """df with each row's position (from 1) in its group's order, and if wanted the group's size.
 
     With a weight, a row counts that often: its position is the sum up to and with it. bucket must grow with the order.
     Rows are sorted within a bucket of a group only; the counts of earlier buckets are added. Without groups that is one
-    row for each bucket in one task.
+    row for each bucket in one task. Without a bucket, for rows that one task may sort, groups are sorted whole.
     """
+    if bucket is None:
+        whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+        inside = whole.orderBy(*order)
+        place = F.row_number().over(inside).cast("long") if weight is None else F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        more = [(F.count("*") if weight is None else F.sum(weight)).over(whole).alias(size)] if size else []
+        return df.select("*", place.alias(name), *more)
     rows = df.withColumn("__bucket", bucket)
     keys = [*group, "__bucket"]
     n = rows.groupBy(*keys).agg((F.count("*") if weight is None else F.sum(weight)).alias("__n"))

@@ -32,16 +32,18 @@ def durations(frames: DataFrame, recording: str, time: str) -> DataFrame:
     return frames.groupBy(recording).agg(F.min(time).alias("first_time"), F.max(time).alias("last_time")).withColumn("duration", F.col("last_time") - F.col("first_time"))
 
 
-def _placed(frames: DataFrame, recording: str, time: str, tie: str) -> DataFrame:
-    """frames with __i, their place (from 1) in their recording, and __range, the range of times in which they were sorted."""
-    bucket = range_bucket(frames, F.col(time).cast("double"))
+def _placed(frames: DataFrame, recording: str, time: str, tie: str, bucket: Column | None) -> DataFrame:
+    """frames with __i, their place (from 1) in their recording, and __range, the range of times in which they were sorted; without ranges 0."""
+    if bucket is None:
+        return ranked(frames, [time, tie], None, "__i", (recording,)).withColumn("__range", F.lit(0))
     return ranked(frames.withColumn("__range", bucket), [time, tie], F.col("__range"), "__i", (recording,))
 
 
 def every_nth(frames: DataFrame, recording: str, time: str, tie: str, n: int, name: str = "frame_no") -> DataFrame:
     """Every n-th frame from the first, numbered densely from 0; a recording is sorted in ranges of time, not in one task."""
     at = F.col("__i") - 1
-    return _placed(frames, recording, time, tie).filter(F.pmod(at, F.lit(n)) == 0).withColumn(name, F.floor(at / n).cast("int")).drop("__i", "__range")
+    bucket = range_bucket(frames, F.col(time).cast("double"))
+    return _placed(frames, recording, time, tie, bucket).filter(F.pmod(at, F.lit(n)) == 0).withColumn(name, F.floor(at / n).cast("int")).drop("__i", "__range")
 
 
 def stride_sample(frames: DataFrame, recording: str, time: str, tie: str, stride: int, origin: Column | None = None, name: str = "sample_no") -> DataFrame:
@@ -54,17 +56,27 @@ def stride_sample(frames: DataFrame, recording: str, time: str, tie: str, stride
 
     Places and minima are taken within ranges of time and carried over from the ranges before, so no recording is sorted in one task.
     """
+    bucket = range_bucket(frames, F.col(time).cast("double"))
+    if bucket is None:
+        origin = F.min(time).over(Window.partitionBy(recording)) if origin is None else origin
+        b = F.floor((F.col(time) - origin) / F.lit(stride))
+        rows = _placed(frames, recording, time, tie, None).withColumns({"__b": b + 1 - F.col("__i"), "__before": F.lit(0).cast("long")})
+        return _kept(rows, Window.partitionBy(recording).orderBy(time, tie), name).select(*frames.columns, name)
     rows = _with_span(frames, recording, time) if origin is None else frames
     b = F.floor((F.col(time) - (F.col("__first") if origin is None else origin)) / F.lit(stride))
-    rows = _placed(rows, recording, time, tie).withColumn("__b", b + 1 - F.col("__i"))
+    rows = _placed(rows, recording, time, tie, bucket).withColumn("__b", b + 1 - F.col("__i"))
     part = rows.groupBy(F.col(recording).alias("__r"), F.col("__range").alias("__k")).agg(F.min("__b").alias("__m"))
     earlier = Window.partitionBy("__r").orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
     part = part.select("__r", "__k", F.least(F.lit(0), F.min("__m").over(earlier)).alias("__before"))
     rows = rows.join(part, F.col(recording).eqNullSafe(F.col("__r")) & (F.col("__range") == F.col("__k")))
-    inside = Window.partitionBy(recording, "__range").orderBy("__i")
+    return _kept(rows, Window.partitionBy(recording, "__range").orderBy("__i"), name).select(*frames.columns, name)
+
+
+def _kept(rows: DataFrame, inside: Window, name: str) -> DataFrame:
+    """The frames at which c grows, numbered by it; __before is the minimum carried over from earlier ranges."""
     low = lambda last: F.least(F.col("__before"), F.min("__b").over(inside.rowsBetween(Window.unboundedPreceding, last)))
     rows = rows.withColumns({"__c": F.col("__i") + low(0), "__p": F.col("__i") - 1 + low(-1)})
-    return rows.filter(F.col("__c") > F.col("__p")).withColumn(name, (F.col("__c") - 1).cast("int")).select(*frames.columns, name)
+    return rows.filter(F.col("__c") > F.col("__p")).withColumn(name, (F.col("__c") - 1).cast("int"))
 
 
 def manifest(kept: DataFrame, recording: str, seconds: Column, name: Column, sample_no: str = "sample_no") -> DataFrame:

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numbers import EPSILON, transfer
 from tessera.operators.ranking import range_bucket, ranked
+from tessera.tables import stored
 
 
 def size_calibration(labels: DataFrame, group: str, area: Column) -> DataFrame:
     """Number, median, 5th and 95th percentile of the positive areas of each class; percentiles interpolate and are cut to whole numbers.
 
-    Equal areas are counted before they move, and the counts summed up in ranges, so no class is gathered in one task.
+    Equal areas are counted before they move, and the counts, stored, summed up in ranges, so no class is gathered in one task.
     """
-    counts = labels.withColumn("__a", area).filter("__a > 0").groupBy(group, "__a").agg(F.count("*").alias("__w"))
+    counts = stored(labels.withColumn("__a", area).filter("__a > 0").groupBy(group, "__a").agg(F.count("*").alias("__w")), "areas")
     upto = ranked(counts, [F.col("__a")], range_bucket(counts, F.col("__a").cast("double")), "__upto", (group,), "n_samples", F.col("__w"))
     a, n = F.col("__a").cast("double"), F.col("n_samples")
     aggs, out = [], []

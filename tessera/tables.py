@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """df stored in as many buckets of the key as the session has shuffle partitions: joins and groups by the key read it without a shuffle.
+
+    Tasks write the buckets of their rows without a shuffle either, so this is for rows of megabytes: there may be a file for each.
+    """
+    spark, path, table = df.sparkSession, fresh_dir(df.sparkSession, name), f"tessera_{uuid.uuid4().hex}"
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    df.write.option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(table)
+    out = spark.table(table)
+    out.schema  # resolved now: the catalogue needn't keep a table whose files only this run reads
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
+def released(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of what was stored and isn't referred to any more, which it does when the driver collects garbage.
+
+    Twice, as the listeners of a query that has just ended may hold it a moment longer.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether df has at most so many rows; counts no further than that."""
     return df.limit(rows + 1).count() <= rows

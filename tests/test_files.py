@@ -374,3 +374,17 @@ def test_setups_without_their_twin(spark, tmp_path):
     two = coco.documents(spark, [export(tmp_path / k, range(1, 3)) for k in "bc"])
     with pytest.raises(ValueError, match="one export"):
         runs.filter_and_canonicalize(two)
+
+
+def test_tables_in_buckets_are_grouped_without_a_shuffle(spark):
+    from tessera import tables
+
+    df = spark.range(100).select((F.col("id") % 7).cast("string").alias("k"), "id")
+    kept = tables.stored_by(df, "buckets", "k")
+    tables.released(spark)
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(tuple(r) for r in df.collect())
+    counted = kept.groupBy("k").agg(F.count("*").alias("n"))
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert {r["n"] for r in counted.collect()} == {14, 15}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tessera_")]
+    assert tables.small(df, 100) and not tables.small(df, 99)

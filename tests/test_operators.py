@@ -343,7 +343,7 @@ def test_hot_groups_are_dealt_to_ranges(spark, monkeypatch):
         for name, own in (("hot", times), ("cold", [7]), (None, [3, 99_000])):
             assert [x["t"] for x in sorted((x for x in got if x["r"] == name), key=lambda x: x["sample_no"])] == plain(own, stride)
     assert sorted(x["t"] for x in sampling.every_nth(frames, "r", "t", "i", 9).filter("r = 'hot'").collect()) == times[::9]
-    placed = sampling._placed(frames, "r", "t", "i")
+    placed = sampling._placed(frames, "r", "t", "i", ranking.range_bucket(frames, F.col("t").cast("double")))
     assert max(x["n"] for x in placed.groupBy("r", "__range").agg(F.count("*").alias("n")).collect()) <= 200
     merged = annotations.merged([frames.select(F.col("i").alias("id")), frames.select((F.col("i") * 2).alias("id"))], ["id"]).collect()
     assert [x["id"] for x in sorted(merged, key=lambda x: x["new_id"])] == sorted(range(800)) + [900, 901, 902] + [2 * i for i in range(800)] + [1800, 1802, 1804]
