@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.tables import BROADCAST_ROWS, fresh_dir, join_small, shared_dir, small, stored
+from tessera.tables import BROADCAST_ROWS, fresh_dir, join_small, released, shared_dir, small, stored, stored_by
 
-__all__ = ["BROADCAST_ROWS", "drawn", "fresh_dir", "join_small", "key_text", "shared_dir", "small", "stored", "unit", "unused"]
+__all__ = ["BROADCAST_ROWS", "drawn", "fresh_dir", "join_small", "key_text", "released", "shared_dir", "small", "stored", "stored_by", "unit", "unused"]
 
 
 def drawn(rows: DataFrame, key: Column, n: int) -> DataFrame:

@@ -1,24 +1,28 @@
-"""Katz backoff language model of words, order two: Good-Turing discounts, exactly normalised backoff weights.
+"""Katz backoff language model of words: Good-Turing discounts, exactly normalised backoff weights, of any order from two.
 
-    p(w | h) = d(c(h, w)) c(h, w) / c(h)   if the pair was seen in training,
-             = alpha(h) p(w)               if not, and p(w) for a history that wasn't seen,
+    p(w | h) = d(c(h, w)) c(h, w) / c(h)   if the gram was seen in training,
+             = alpha(h) p(w | h')          if not, h' being h without its first word,
+             = p(w | h')                   for a context that wasn't seen,
     p(w)     = d(c(w)) c(w) / N, and what the discounts leave for the one unknown word.
 
-alpha(h) is what the discounts at h leave, over the unigram probability of all words not seen after h, so p(. | h) sums to
-one over the V known words (the end included) and the unknown one. A history at which nothing is discounted counts one
-more than it was seen. The end of a text is the history of the next one's first word.
+alpha(h) is what the discounts at h leave, over the probability below of all words not seen after h, so p(. | h) sums to
+one over the V known words (the end included) and the unknown one. A context at which nothing is discounted counts one
+more than it was seen. Words before the start of a text are ends.
 
 How it runs. Texts are cut to tokens once, in batches of up to BATCH_TOKENS, and kept as a stored table. A batch
 sends each word it holds, once, to that word's bucket; the bucket sums the counts of all batches and answers each
-with the words' numbers and counts. Then a batch sends its distinct word pairs to the buckets of their histories,
-where counts are summed and answered with what alpha needs: the numbers of followers seen once, twice, ..., and
-their unigram mass. Both answers are stored tables, partitioned by bucket; scoring a batch is a lookup in its answers,
-pair first, then backoff. What moves are packed arrays of distinct words and pairs, summed within their
-batch, not a row for each token; the number of buckets grows with the tokens, so that each fits a worker. The pairs
-of a hot history (a share over 1/4 of a bucket's) are spread over all buckets by their second word, and
-only its few sums meet on the driver: at most HOT words for each bucket are looked at.
+with the words' numbers and counts. Then, level by level, a batch sends its distinct grams to the buckets of their
+contexts with the counts that give their probabilities below; there counts are summed and answered with the grams'
+counts, the contexts' sizes, and, where a batch has to back off, with what alpha needs: the numbers of followers seen
+once, twice, ..., and their mass below. Answers are stored tables, partitioned by bucket; scoring a batch is a lookup in
+its answers, level by level from the words up.
 
-Words are told apart by the XXH64 of their bytes.
+What moves are packed arrays of distinct words and grams, summed within their batch, not a row for each token. Batches
+are stored in buckets by batch and never shuffled; the answers come to them. The number of buckets of words and grams
+grows with the tokens, so that each fits a worker. The grams of a hot context (over 1/4 of a bucket's tokens) are spread
+over all buckets by their last word, and only its few sums meet on the driver: there are at most four of them for each bucket.
+
+Words are told apart by the XXH64 of their bytes, grams in a bucket by 64 bits mixed from their words' numbers.
 
 Edge cases. Null or empty text, or only white space: the end alone. A null id counts as training. Without
 training rows every token is the unknown word with probability one. Repeated rows count and score each time.
@@ -41,16 +45,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import stored
+from tessera.llm.common import released, stored, stored_by
 
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 1_000_000
 #: Bytes of text that are cut to tokens at once.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 5 << 20
 #: Counts up to this are discounted.
 CUTOFF = 5
-#: Tokens in a batch for each bucket, on average over all batches: buckets = tokens / BUCKET_TOKENS.
-BUCKET_TOKENS = 3_000_000
-HOT = 64
+#: Tokens of all batches for each bucket: buckets = tokens / BUCKET_TOKENS.
+BUCKET_TOKENS = 1_500_000
+#: Words in a gram.
+ORDER = 2
 #: The end of a text; no word holds white space.
 END = xxhash.xxh64_intdigest(b"\n")
 
@@ -161,7 +166,7 @@ def batches_of(docs: DataFrame, held_out: Column, id_col: str, text_col: str, li
     schema = T.StructType().add("ids", T.ArrayType(rows.schema["id"].dataType)).add("batch", "string").add("n_tokens", "long").add("n_words", "long")
     for name in ("lengths", "held", "tokens", "words", "counts"):
         schema = schema.add(name, "binary")
-    return stored(rows.mapInArrow(run, schema), "katz-batches")
+    return stored_by(rows.mapInArrow(run, schema), "katz-batches", "batch")
 
 
 # --- words -------------------------------------------------------------------------------------------------------
@@ -173,6 +178,8 @@ _WORD_DDL = "bucket long, batch string, ids binary, counts binary, sums array<lo
 
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each bucket that occurs, with its positions in order."""
+    if len(bucket) and int(bucket.max()) < 1 << 16:
+        bucket = bucket.astype(np.uint16)  # sorted by digits
     order = np.argsort(bucket, kind="stable")
     of = bucket[order]
     cuts = np.flatnonzero(np.diff(of)) + 1
@@ -180,8 +187,8 @@ def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[at[0]]), at
 
 
-def word_answers(batches: DataFrame, n_buckets: int) -> DataFrame:
-    """For each batch and bucket, the numbers and training counts of its words; for each bucket its sums and its HOT most frequent words."""
+def word_answers(batches: DataFrame, n_buckets: int, least: int) -> DataFrame:
+    """For each batch and bucket, the numbers and training counts of its words; for each bucket its sums, and the words seen over `least` times, as contexts."""
 
     def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
@@ -192,7 +199,7 @@ def word_answers(batches: DataFrame, n_buckets: int) -> DataFrame:
 
     def answer(t: pa.Table) -> pa.Table:
         bucket, hashes = t["bucket"][0].as_py(), [_unraw(x, np.uint64) for x in t["hashes"].to_pylist()]
-        _, which = np.unique(np.concatenate(hashes), return_inverse=True)
+        known, which = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.bincount(which, np.concatenate([unpack(x) for x in t["counts"].to_pylist()])).astype(np.int64)
         # Numbers by falling count, so that frequent words have short ones.
         order = np.argsort(-total, kind="stable")
@@ -201,8 +208,9 @@ def word_answers(batches: DataFrame, n_buckets: int) -> DataFrame:
         ends = np.cumsum([len(h) for h in hashes])
         rows = [(bucket, batch, pack(number[w]), pack(total[w]), None, None) for batch, w in zip(t["batch"].to_pylist(), np.split(which, ends[:-1]), strict=True)]
         seen = np.bincount(total[(total > 0) & (total <= CUTOFF + 1)], minlength=CUTOFF + 2)[1:]
-        top = np.stack([number[order[:HOT]], total[order[:HOT]]], axis=1).ravel()
-        rows.append((bucket, None, None, None, [int(total.sum()), int((total > 0).sum()), *seen.tolist()], top.tolist()))
+        often = np.flatnonzero(total > least)
+        context = np.where(known[often] == np.uint64(END), 0, number[often] + 1)
+        rows.append((bucket, None, None, None, [int(total.sum()), int((total > 0).sum()), *seen.tolist()], context_hash(context[:, None]).tolist()))
         return pa.Table.from_batches([_rows(rows, _WORD_ANSWERS)])
 
     asked = batches.select("batch", "words", "counts").mapInArrow(ask, "bucket long, batch string, hashes binary, counts binary")
@@ -249,93 +257,252 @@ def _unigram_mass(u: Unigrams) -> tuple[np.ndarray, float, float]:
     return d, total, (freed if freed > 0 else 1.0) / total
 
 
-# --- pairs -------------------------------------------------------------------------------------------------------
+# --- grams -------------------------------------------------------------------------------------------------------
 
-_PAIRS = pa.schema([("bucket", pa.int64()), ("batch", pa.string()), ("h", pa.binary()), ("w", pa.binary()), ("n", pa.binary()), ("c", pa.binary())])
-_PAIR_ANSWERS = pa.schema([("bucket", pa.int64()), ("batch", pa.string()), ("ids", pa.binary()), ("counts", pa.binary()), ("sums", pa.list_(pa.int64())), ("followers", pa.binary()), ("mass", pa.binary()), ("hot", pa.list_(pa.int64())), ("hot_mass", pa.list_(pa.float64()))])
-_PAIR_DDL = "bucket long, batch string, ids binary, counts binary, sums array<long>, followers binary, mass binary, hot array<long>, hot_mass array<double>"
+_ASKED = pa.schema([("bucket", pa.int64()), ("batch", pa.string()), ("contexts", pa.list_(pa.binary())), ("runs", pa.binary()), ("w", pa.binary()), ("n", pa.binary()), ("low", pa.list_(pa.binary()))])
+_ASKED_DDL = "bucket long, batch string, contexts array<binary>, runs binary, w binary, n binary, low array<binary>"
+_GRAM_ANSWERS = pa.schema([("bucket", pa.int64()), ("batch", pa.string()), ("counts", pa.binary()), ("sizes", pa.binary()), ("followers", pa.binary()), ("mass", pa.binary()), ("sums", pa.list_(pa.int64())), ("top", pa.list_(pa.int64())), ("hot", pa.list_(pa.int64())), ("hot_mass", pa.list_(pa.float64()))])
+_GRAM_DDL = "bucket long, batch string, counts binary, sizes binary, followers binary, mass binary, sums array<long>, top array<long>, hot array<long>, hot_mass array<double>"
 
 
 def _mix(a: np.ndarray) -> np.ndarray:
-    """Well mixed bits of whole numbers."""
-    a = a.astype(np.uint64)
-    a = (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return a ^ (a >> np.uint64(29))
+    """Well mixed bits of whole numbers: the finisher of SplitMix64, which tells all numbers apart (its public constants)."""
+    a = a.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    a = (a ^ (a >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    a = (a ^ (a >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return a ^ (a >> np.uint64(31))
+
+
+def context_hash(contexts: np.ndarray) -> np.ndarray:
+    """64 bits for each row of word numbers."""
+    out = np.zeros(len(contexts), np.uint64)
+    for c in contexts.T:
+        out = _mix(out + c.astype(np.uint64) + np.uint64(1))
+    return out.view(np.int64)
+
+
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct key, keys in rising order, and which each one is."""
+    order = np.argsort(key)
+    ranked = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(key), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
+def _among(h: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which hashes are among the hot ones (sorted)."""
+    return hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h if len(hot) else np.zeros(len(h), bool)
+
+
+def _with_word(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """64 bits for contexts, by their hashes, with a word's number each."""
+    return _mix(h.view(np.uint64) + w.astype(np.uint64) + np.uint64(1)).view(np.int64)
+
+
+class Grams(NamedTuple):
+    """The distinct grams of one length in a batch."""
+
+    contexts: np.ndarray  # contexts, of which some have no gram, x words before the last, local words
+    of: np.ndarray  # context of each gram
+    w: np.ndarray  # its last word
+    lower: np.ndarray  # the gram without its first word, in the level below; the word itself for pairs
+    n: np.ndarray  # how often in training
+    at: np.ndarray  # which gram each token ends
 
 
 class Batch(NamedTuple):
-    """One batch with the answers on its words, and its distinct pairs."""
+    """One batch with the answers on its words."""
 
     lengths: np.ndarray
     held: np.ndarray
     tokens: np.ndarray
-    numbers: np.ndarray
+    numbers: np.ndarray  # of local words; 0 is the end
     counts: np.ndarray
-    h: np.ndarray  # local words of the distinct pairs
-    w: np.ndarray
-    pair: np.ndarray  # which pair each token ends
-    n: np.ndarray  # how often in training
+    end: int
+
+    def levels(self, order: int) -> list[Grams]:
+        """Grams of 2 to `order` words. Words before the start of a text are ends."""
+        place = np.arange(len(self.tokens)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        train = ~np.repeat(self.held, self.lengths)
+        out, lower, columns, start = [], self.tokens, np.arange(len(self.numbers))[:, None], self.end
+        for k in range(2, order + 1):
+            # The context of a token is the gram below that the token before it ends; at a text's start, ends alone.
+            context = np.concatenate([[start], lower[:-1]])
+            context[place == 0] = start
+            first, at = _distinct(context << 32 | self.tokens)
+            out.append(Grams(columns, context[first], self.tokens[first], lower[first], np.bincount(at[train], minlength=len(first)), at))
+            columns = np.vstack([np.column_stack([columns[context[first]], self.tokens[first]]), np.full((1, k), self.end)])
+            start, lower = len(first), at
+        return out
 
 
 def _assembled(row: dict, answers: list[dict], n_buckets: int) -> Batch:
     hashes, tokens = _unraw(row["words"], np.uint64), unpack(row["tokens"])
-    lengths, held = unpack(row["lengths"]), unpack(row["held"]).astype(bool)
     numbers, counts = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
-    got = {a["bucket"]: a for a in answers}
+    got = {a["bucket"]: a for a in answers if a["level"] == 1}
     for k, at in _by_bucket((hashes % np.uint64(n_buckets)).astype(np.int64)):
         numbers[at], counts[at] = unpack(got[k]["ids"]), unpack(got[k]["counts"])
     end = int(np.flatnonzero(hashes == np.uint64(END))[0])
-    before = np.concatenate([[end], tokens[:-1]])
-    keys, pair = np.unique(before << 32 | tokens, return_inverse=True)
-    n = np.bincount(pair[~np.repeat(held, lengths)], minlength=len(keys))
-    return Batch(lengths, held, tokens, numbers, counts, keys >> 32, keys & 0xFFFFFFFF, pair, n)
+    numbers += 1
+    numbers[end] = 0
+    return Batch(unpack(row["lengths"]), unpack(row["held"]).astype(bool), tokens, numbers, counts, end)
 
 
-def _pair_order(b: Batch, n_buckets: int, hot: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """The batch's pairs by bucket, ordered by history and word within."""
-    h, w = b.numbers[b.h], b.numbers[b.w]
-    spread = np.where(np.isin(h, hot), h + (w << 20) + 1, h)
-    order = np.lexsort((w, h))
-    return [(k, order[at]) for k, at in _by_bucket((_mix(spread) % np.uint64(n_buckets)).astype(np.int64)[order])]
+def _dealt(b: Batch, g: Grams, n_buckets: int, hot: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each bucket its contexts, how many grams each has there, and these grams, by context.
 
-
-def pair_answers(batches: DataFrame, words: DataFrame, u: Unigrams, n_words: int, n_buckets: int, hot: np.ndarray) -> DataFrame:
-    """For each batch and bucket, training counts of its pairs, and for their histories the numbers of followers by count and their unigram mass."""
+    The grams of a hot context are spread over all buckets.
+    """
+    h = context_hash(b.numbers[g.contexts])
+    spread, own = h[g.of], _among(h, hot)[g.of]
+    spread[own] = _with_word(spread[own], b.numbers[g.w[own]])
+    for k, grams in _by_bucket((spread.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)):
+        of = g.of[grams]
+        first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        yield k, of[first], np.diff(np.append(first, len(of))), grams
+
+
+class Level(NamedTuple):
+    """What all of training says of grams of one length: discounts, and the sums of the hot contexts (CUTOFF followers, size, mass)."""
+
+    d: np.ndarray
+    hot: np.ndarray
+    hot_sums: np.ndarray
+    hot_mass: np.ndarray
+
+
+class Known(NamedTuple):
+    """What a batch knows of its grams of one length: p of the last word after its context, the training count, and what the context's counts are divided by."""
+
+    p: np.ndarray
+    total: np.ndarray
+    whole: np.ndarray
+
+
+def _known(b: Batch, g: Grams, level: Level, answers: dict[int, dict], n_buckets: int, low: np.ndarray) -> Known:
+    """low: p of the grams of the level below."""
+    n = len(g.contexts)
+    total, size, flag = np.zeros(len(g.w), np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
+    followers, mass = np.zeros((CUTOFF, n), np.int64), np.zeros(n)
+    for k, contexts, runs, grams in _dealt(b, g, n_buckets, level.hot):
+        a = answers[k]
+        total[grams] = unpack(a["counts"])
+        sizes = unpack(a["sizes"])
+        size[contexts], flag[contexts] = sizes >> 1, sizes & 1
+        told = contexts[_wanted(total[grams], runs, sizes >> 1)]
+        followers[:, told], mass[told] = unpack(a["followers"]).reshape(CUTOFF, -1), _unraw(a["mass"], np.float64)
+    if len(level.hot):
+        h = context_hash(b.numbers[g.contexts])
+        own = np.flatnonzero(_among(h, level.hot))
+        at = np.searchsorted(level.hot, h[own])
+        sums = level.hot_sums[at]
+        followers[:, own], size[own], mass[own] = sums[:, :CUTOFF].T, sums[:, CUTOFF], level.hot_mass[at]
+        flag[own] = sums[:, :CUTOFF].any(axis=1)
+    freed = ((1 - level.d[1:-1])[:, None] * np.arange(1, CUTOFF + 1)[:, None] * followers).sum(axis=0)
+    # A context at which nothing is discounted counts one more than it was seen.
+    whole = np.maximum(size + ~flag, 1)
+    # No probability is left for others where a context's followers are all there is but the unknown word; that one then has it all.
+    alpha = np.where(flag, freed, 1.0) / whole / np.maximum(1 - mass, 1e-300)
+    below = low[g.lower]
+    p = np.where(total > 0, level.d[np.minimum(total, CUTOFF + 1)] * total / whole[g.of], np.where(size[g.of] > 0, alpha[g.of] * below, below))
+    return Known(p, total, whole)
+
+
+def _wanted(total: np.ndarray, runs: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Contexts, of those of a bucket, whose backoff weight is asked for: seen in training, with a gram that wasn't."""
+    first = np.cumsum(runs) - runs
+    return (np.minimum.reduceat(total, first) == 0) & (size > 0) if len(runs) else np.zeros(0, bool)
+
+
+def _ask(batches: DataFrame, answers: DataFrame, u: Unigrams, levels: list[Level], n_words: int, n_buckets: int, hot: np.ndarray) -> DataFrame:
+    """For each batch and bucket the grams of the next level: their contexts, last words, training counts and what gives the probabilities below of those in training.
+
+    That are the counts of the last words for pairs; for longer grams the counts of the grams below, and once for each of
+    their contexts what they are divided by.
+    """
+    order = len(levels) + 2
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
+        rows, found = [], right.to_pylist()
         for row in left.to_pylist():
-            b = _assembled(row, right.to_pylist(), n_words)
-            for k, at in _pair_order(b, n_buckets, hot):
-                h, w = b.h[at], b.w[at]
-                rows.append((k, row["batch"], pack(np.diff(b.numbers[h], prepend=0)), pack(b.numbers[w]), pack(b.n[at]), pack(b.counts[w])))
-        return pa.Table.from_batches([_rows(rows, _PAIRS)])
+            b = _assembled(row, found, n_words)
+            grams = b.levels(order)
+            below, g = _below(b, grams[:-1], u, levels, found, n_buckets), grams[-1]
+            for k, contexts, runs, at in _dealt(b, g, n_buckets, hot):
+                numbers, w = b.numbers[g.contexts[contexts]], b.numbers[g.w[at]]
+                if order == 2:
+                    _, first = np.unique(w, return_index=True)
+                    low = [pack(b.counts[g.w[at][first]])]
+                else:
+                    _, first = np.unique(context_hash(numbers[:, 1:]), return_index=True)
+                    one = at[(np.cumsum(runs) - runs)[first]]  # a gram of each context below
+                    low = [pack(below.total[g.lower[at[g.n[at] > 0]]]), pack(below.whole[grams[-2].of[g.lower[one]]])]
+                rows.append((k, row["batch"], [pack(c) for c in numbers.T], pack(runs), pack(w), pack(g.n[at]), low))
+        return pa.Table.from_batches([_rows(rows, _ASKED)])
+
+    return _meet(batches, answers).applyInArrow(ask, _ASKED_DDL)
+
+
+def _below(b: Batch, grams: list[Grams], u: Unigrams, levels: list[Level], answers: list[dict], n_buckets: int) -> Known:
+    """What is known of the grams of the last level given, from the words up: each level backs off to the one below."""
+    out = Known(unigram_p(b.counts, u), b.counts, np.zeros(0))
+    for k, (g, level) in enumerate(zip(grams, levels, strict=True), 2):
+        out = _known(b, g, level, {a["bucket"]: a for a in answers if a["level"] == k}, n_buckets, out.p)
+    return out
+
+
+def gram_answers(asked: DataFrame, u: Unigrams, levels: list[Level], hot: np.ndarray, least: int) -> DataFrame:
+    """For each batch and bucket the training counts of its grams and the sizes of their contexts, and for contexts to back off from their followers seen once, twice, ... and the mass below of all that followed.
+
+    For each bucket its counts of counts, its part of the hot contexts' sums, and the hashes of grams seen over `least`
+    times, which are the hot contexts of the next level.
+    """
+    order, d = len(levels) + 2, levels[-1].d if levels else None
 
     def answer(t: pa.Table) -> pa.Table:
         bucket = t["bucket"][0].as_py()
-        hs = [np.cumsum(unpack(x)) for x in t["h"].to_pylist()]
-        h, w, n, c = np.concatenate(hs), *(np.concatenate([unpack(x) for x in t[name].to_pylist()]) for name in "wnc")
-        histories, of_h = np.unique(h, return_inverse=True)
-        if len(w) and w.max() >= 1 << 32:
-            _, w = np.unique(w, return_inverse=True)
-        keys, first, which = np.unique(of_h.astype(np.int64) << 32 | w, return_index=True, return_inverse=True)
-        total = np.bincount(which, n).astype(np.int64)
-        mine = (keys >> 32)[total > 0]
-        mass = np.bincount(mine, unigram_p(c[first], u)[total > 0], len(histories))
-        followers = np.stack([np.bincount((keys >> 32)[total == r], minlength=len(histories)) for r in range(1, CUTOFF + 1)])
-        ends = np.cumsum([len(x) for x in hs])
-        rows = []
-        for batch, pairs, own in zip(t["batch"].to_pylist(), np.split(which, ends[:-1]), np.split(of_h, ends[:-1]), strict=True):
-            of = own[np.concatenate([[True], own[1:] != own[:-1]])]
-            rows.append((bucket, batch, None, pack(total[pairs]), None, pack(followers[:, of].ravel()), _raw(mass[of]), None, None))
+        parts = []
+        for contexts, runs, w, n, low in zip(*(t[c].to_pylist() for c in ("contexts", "runs", "w", "n", "low")), strict=True):
+            columns = np.column_stack([unpack(c) for c in contexts])
+            runs, w, n = unpack(runs), unpack(w), unpack(n)
+            p = np.full(len(w), np.nan)
+            if order == 2:
+                _, own = np.unique(w, return_inverse=True)
+                p = unigram_p(unpack(low[0]), u)[own]
+            else:
+                c, (_, own) = unpack(low[0]), np.unique(context_hash(columns[:, 1:]), return_inverse=True)
+                p[n > 0] = d[np.minimum(c, CUTOFF + 1)] * c / np.repeat(unpack(low[1])[own], runs)[n > 0]
+            parts.append((columns, runs, w, n, p))
+        columns, runs, w, n, p = (np.concatenate(x) for x in zip(*parts, strict=True))
+        h = context_hash(columns)
+        first, which = _distinct(h)
+        one, gram = _distinct(_with_word(np.repeat(h, runs), w))
+        columns, h, of = columns[first], h[first], np.repeat(which, runs)[one]
+        total = np.bincount(gram, n, len(one)).astype(np.int64)
+        below = np.zeros(len(one))
+        below[gram[n > 0]] = p[n > 0]
+        size = np.bincount(of, total, len(columns)).astype(np.int64)
+        mass = np.bincount(of, np.where(total > 0, below, 0), len(columns))
+        followers = np.stack([np.bincount(of[total == r], minlength=len(columns)) for r in range(1, CUTOFF + 1)])
+        flag = followers.any(axis=0)
+        rows, at_c, at_g = [], 0, 0
+        for batch, (c, r, x, *_) in zip(t["batch"].to_pylist(), parts, strict=True):
+            mine, counts = which[at_c : at_c + len(c)], total[gram[at_g : at_g + len(x)]]
+            told = mine[_wanted(counts, r, size[mine])]
+            rows.append((bucket, batch, pack(counts), pack(2 * size[mine] + flag[mine]), pack(followers[:, told].ravel()), _raw(mass[told]), None, None, None, None))
+            at_c, at_g = at_c + len(c), at_g + len(x)
         seen = np.bincount(total[(total > 0) & (total <= CUTOFF + 1)], minlength=CUTOFF + 2)[1:]
-        special = np.flatnonzero(np.isin(histories, hot))
-        sums = np.column_stack([histories[special], followers[:, special].T]).ravel().tolist()
-        rows.append((bucket, None, None, None, seen.tolist(), None, None, sums, mass[special].tolist()))
-        return pa.Table.from_batches([_rows(rows, _PAIR_ANSWERS)])
+        special = np.flatnonzero(_among(h, hot) & (size > 0))
+        sums = np.column_stack([h[special], followers[:, special].T, size[special]]).ravel().tolist()
+        often = np.flatnonzero(total > least)
+        top = context_hash(np.column_stack([columns[of[often]], w[one[often]]])).tolist()
+        rows.append((bucket, None, None, None, None, None, seen.tolist(), top, sums, mass[special].tolist()))
+        return pa.Table.from_batches([_rows(rows, _GRAM_ANSWERS)])
 
-    asked = _meet(batches, words).applyInArrow(ask, "bucket long, batch string, h binary, w binary, n binary, c binary")
-    return stored(asked.groupBy("bucket").applyInArrow(answer, _PAIR_DDL), "katz-pairs")
+    return stored(asked.groupBy("bucket").applyInArrow(answer, _GRAM_DDL), f"katz-grams-{order}")
 
 
 def _meet(batches: DataFrame, answers: DataFrame):
@@ -343,69 +510,61 @@ def _meet(batches: DataFrame, answers: DataFrame):
     return batches.groupBy("batch").cogroup(answers.filter("batch is not null").groupBy("batch"))
 
 
-class _Histories(NamedTuple):
-    followers: np.ndarray  # CUTOFF x histories
-    mass: np.ndarray
+def _top(answers: DataFrame) -> np.ndarray:
+    """Hashes of the hot contexts of the next level: at most four for each bucket, as each has over a quarter of a bucket's tokens."""
+    return np.array(sorted(r["h"] for r in answers.filter("top is not null").select(F.explode("top").alias("h")).distinct().collect()), np.int64)
 
 
-def pair_log10(b: Batch, u: Unigrams, d: np.ndarray, total: np.ndarray, of: np.ndarray, hist: _Histories) -> np.ndarray:
-    """log10 p(w | h) of each distinct pair, from its training count and its history's sums (column `of`)."""
-    p1, c_h = unigram_p(b.counts, u)[b.w], b.counts[b.h]
-    r = np.arange(1, CUTOFF + 1)[:, None]
-    freed = ((1 - d[1:-1])[:, None] * r * hist.followers).sum(axis=0)[of]
-    size = np.maximum(c_h + np.where(freed > 0, 0, 1), 1)
-    left = np.where(freed > 0, freed, 1.0) / size
-    # No probability is left for others where a history's followers are all there is but the unknown word; that one then has it all.
-    unseen = np.maximum(1 - hist.mass[of], 1e-300)
-    p = np.where(total > 0, d[np.minimum(total, CUTOFF + 1)] * total / size, np.where(c_h > 0, left / unseen * p1, p1))
-    return np.log10(p)
+def _level(answers: DataFrame, hot: np.ndarray) -> Level:
+    sums, mass = np.zeros((len(hot), CUTOFF + 1), np.int64), np.zeros(len(hot))
+    if len(hot):
+        for r in answers.filter("size(hot) > 0").select("hot", "hot_mass").toLocalIterator():
+            rows = np.array(r["hot"], np.int64).reshape(-1, CUTOFF + 2)
+            at = np.searchsorted(hot, rows[:, 0])
+            sums[at] += rows[:, 1:]
+            mass[at] += r["hot_mass"]
+    return Level(discounts(tuple(_sums(answers, CUTOFF + 1))), hot, sums, mass)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, batch_tokens: int = BATCH_TOKENS, bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, order: int = ORDER, batch_tokens: int = BATCH_TOKENS, bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
     """One row for each row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     The model is counted on the rows that aren't held out: by default those whose crc32 of the id as text isn't 1 modulo 5.
     """
+    if order < 2:
+        raise ValueError("backoff needs an order of two at least")
     if held_out is None:
         held_out = F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 1
     batches = batches_of(docs, held_out, id_col, text_col, batch_tokens)
     sent = batches.agg(F.sum("n_tokens").alias("t"), F.sum("n_words").alias("w")).first()
-    n_words, n_pairs = 1 + (sent["w"] or 0) // bucket_tokens, 1 + (sent["t"] or 0) // bucket_tokens
-    words = word_answers(batches, n_words)
+    n_words, n_buckets = 1 + (sent["w"] or 0) // bucket_tokens, 1 + (sent["t"] or 0) // bucket_tokens
+    least = (sent["t"] or 0) // (4 * n_buckets) if n_buckets > 1 else 1 << 62
+    words = word_answers(batches, n_words, least)
+    released(docs.sparkSession)
     tokens, distinct, *seen = _sums(words, CUTOFF + 3)
     u = Unigrams(tokens, distinct, tuple(seen))
-    top = words.filter("top is not null").select(F.explode(F.transform(F.expr("sequence(0, size(top) - 2, 2)"), lambda i: F.struct(F.col("top")[i].alias("w"), F.col("top")[i + 1].alias("n")))).alias("x"))
-    top = top.filter((F.col("x.n") > tokens / (4 * n_pairs)) & F.lit(n_pairs > 1)).select("x.w").collect()  # at most 4 for each bucket, and HOT
-    hot = np.array(sorted(r["w"] for r in top), np.int64)
     kept = batches.select("ids", "batch", "lengths", "held", "tokens", "words")
-    pairs = pair_answers(kept.drop("ids"), words, u, n_words, n_pairs, hot)
-    d = discounts(tuple(_sums(pairs, CUTOFF + 1)))
-    hot_sums = _hot_sums(pairs, hot)
+    fields = ["bucket", "batch", "ids", "counts", "sizes", "followers", "mass", "level"]
+    missing = {c: F.lit(None).cast("binary") for c in ("sizes", "followers", "mass")}
+    answers = words.withColumns({"level": F.lit(1), **missing}).select(fields)
+    levels, top = [], _top(words)
+    for k in range(2, order + 1):
+        # All texts start after ends alone, which no gram of the level below is.
+        hot = np.unique(np.append(top, context_hash(np.zeros((1, k - 1), np.int64)))) if n_buckets > 1 else top[:0]
+        found = gram_answers(_ask(kept.drop("ids"), answers, u, levels, n_words, n_buckets, hot), u, levels, hot, least)
+        released(docs.sparkSession)
+        levels.append(_level(found, hot))
+        answers = answers.unionByName(found.withColumns({"level": F.lit(k), "ids": F.lit(None).cast("binary")}).select(fields))
+        top = _top(found)
     id_type = docs.schema[id_col].dataType
     out = T.StructType().add(id_col, id_type).add("held_out", "boolean").add("n_tokens", "long").add("n_known", "long").add("train_tokens", "long").add("base_score", "double").add("score", "double")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        tables = []
-        answers = right.to_pylist()
+        tables, found = [], right.to_pylist()
         for i, row in enumerate(left.drop_columns(["ids"]).to_pylist()):
-            b = _assembled(row, [a for a in answers if a["kind"] == 0], n_words)
-            total, of = np.zeros(len(b.h), np.int64), np.zeros(len(b.h), np.int64)
-            got, followers, mass = {a["bucket"]: a for a in answers if a["kind"] == 1}, [], []
-            at_h = 0
-            for k, at in _pair_order(b, n_pairs, hot):
-                a = got[k]
-                total[at] = unpack(a["counts"])
-                h = b.h[at]
-                new = np.concatenate([[True], h[1:] != h[:-1]])
-                of[at] = at_h + np.cumsum(new) - 1
-                f, m = unpack(a["followers"]).reshape(CUTOFF, -1).copy(), _unraw(a["mass"], np.float64).copy()
-                own = b.numbers[h[new]]
-                for x in np.flatnonzero(np.isin(own, hot)):
-                    f[:, x], m[x] = hot_sums[int(own[x])]
-                followers.append(f)
-                mass.append(m)
-                at_h += len(m)
-            logs = pair_log10(b, u, d, total, of, _Histories(np.concatenate(followers, axis=1), np.concatenate(mass)))[b.pair]
+            b = _assembled(row, found, n_words)
+            grams = b.levels(order)
+            logs = np.log10(_below(b, grams, u, levels, found, n_buckets).p)[grams[-1].at]
             start = np.concatenate([[0], np.cumsum(b.lengths)[:-1]])
             c = b.counts[b.tokens]
             base = np.log10((c + 0.5) / (u.tokens + 0.5 * (u.words + 1)))
@@ -414,17 +573,4 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
             tables.append(pa.Table.from_arrays([ids, *(pa.array(x) for x in cols)], names=out.names))
         return pa.concat_tables(tables) if tables else pa.table({f.name: pa.array([], t) for f, t in zip(out, [left.schema.field("ids").type.value_type, pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2], strict=True)})
 
-    both = words.select("bucket", "batch", "ids", "counts", F.lit(None).cast("binary").alias("followers"), F.lit(None).cast("binary").alias("mass"), F.lit(0).alias("kind"))
-    both = both.unionByName(pairs.select("bucket", "batch", "ids", "counts", "followers", "mass", F.lit(1).alias("kind")))
-    return _meet(kept, both).applyInArrow(run, out)
-
-
-def _hot_sums(pairs: DataFrame, hot: np.ndarray) -> dict[int, tuple[np.ndarray, float]]:
-    """Sums of the hot histories over all buckets: CUTOFF + 1 numbers for each."""
-    out = {int(h): (np.zeros(CUTOFF, np.int64), 0.0) for h in hot}
-    if len(hot):
-        for r in pairs.filter("sums is not null").select("hot", "hot_mass").toLocalIterator():
-            for (h, *f), m in zip(np.array(r["hot"], np.int64).reshape(-1, CUTOFF + 1).tolist(), r["hot_mass"], strict=True):
-                a, b = out[h]
-                out[h] = a + np.array(f), b + m
-    return out
+    return _meet(kept, answers).applyInArrow(run, out)

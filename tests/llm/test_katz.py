@@ -30,41 +30,52 @@ def discounts(counts, k=katz.CUTOFF):
 class Plain:
     """The model by dictionaries."""
 
-    def __init__(self, texts):
-        self.c1, self.c2, self.h = collections.Counter(), collections.Counter(), collections.Counter()
+    def __init__(self, texts, order=katz.ORDER):
+        self.order, self.c1 = order, collections.Counter()
+        self.c = {k: collections.Counter() for k in range(2, order + 1)}
         for t in texts:
             w = tokens_of(t)
             self.c1.update(w)
-            self.c2.update(zip([END, *w], w, strict=False))
-        for (h, _), n in self.c2.items():
-            self.h[h] += n
+            for k in self.c:
+                long = [END] * (k - 1) + w
+                self.c[k].update(tuple(long[i : i + k]) for i in range(len(w)))
+        self.after = {k: {} for k in self.c}
+        for k, counts in self.c.items():
+            for g, n in counts.items():
+                self.after[k].setdefault(g[:-1], {})[g[-1]] = n
         self.n, self.v = sum(self.c1.values()), len(self.c1)
-        self.d1, self.d2 = discounts(self.c1), discounts(self.c2)
+        self.d1, self.d = discounts(self.c1), {k: discounts(c) for k, c in self.c.items()}
         freed = sum((1 - self.d1[c]) * c for c in self.c1.values() if c in self.d1)
         self.total = self.n + (0 if freed else 1)
         self.unknown = (freed or 1) / self.total if self.n else 1.0
+        self.alpha = {}
 
     def p1(self, w):
         return self.d1.get(self.c1[w], 1) * self.c1[w] / self.total if self.c1[w] else self.unknown
 
     def p(self, w, h):
-        if not self.h[h]:
+        if not h:
             return self.p1(w)
-        after = {x: n for (y, x), n in self.c2.items() if y == h}
-        freed = sum((1 - self.d2[n]) * n for n in after.values() if n in self.d2)
-        size = self.h[h] + (0 if freed else 1)
-        if w in after:
-            return self.d2.get(after[w], 1) * after[w] / size
-        return (freed or 1) / size / (1 - sum(map(self.p1, after))) * self.p1(w)
+        k = len(h) + 1
+        after = self.after[k].get(h)
+        if after is None:
+            return self.p(w, h[1:])
+        if h not in self.alpha:
+            freed = sum((1 - self.d[k][n]) * n for n in after.values() if n in self.d[k])
+            size = sum(after.values()) + (0 if freed else 1)
+            self.alpha[h] = size, (freed or 1) / size / max(1e-300, 1 - sum(self.p(x, h[1:]) for x in after))
+        size, alpha = self.alpha[h]
+        return self.d[k].get(after[w], 1) * after[w] / size if w in after else alpha * self.p(w, h[1:])
 
     def score(self, text):
         w = tokens_of(text)
         base = sum(math.log10((self.c1[x] + 0.5) / (self.n + 0.5 * (self.v + 1))) for x in w)
-        return len(w), sum(self.c1[x] > 0 for x in w), self.n, base, sum(math.log10(self.p(x, h)) for h, x in zip([END, *w], w, strict=False))
+        long = [END] * (self.order - 1) + w
+        return len(w), sum(self.c1[x] > 0 for x in w), self.n, base, sum(math.log10(self.p(x, tuple(long[i : i + self.order - 1]))) for i, x in enumerate(w))
 
 
-def check(got, rows, held):
-    model = Plain([t for i, t in rows if not held(i)])
+def check(got, rows, held, order=katz.ORDER):
+    model = Plain([t for i, t in rows if not held(i)], order)
     want = sorted(((i, held(i), *model.score(t)) for i, t in rows), key=repr)
     got = sorted(map(tuple, got), key=repr)
     assert len(got) == len(want)
@@ -89,19 +100,36 @@ def corpus(n, seed=0, hot=0.0):
     return out
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
 @pytest.mark.parametrize(("batch", "bucket", "hot"), [(2_000_000, 3_000_000, 0.0), (300, 500, 0.0), (300, 400, 0.9)])
-def test_scores_equal_a_plain_model(spark, batch, bucket, hot):
+def test_scores_equal_a_plain_model(spark, order, batch, bucket, hot):
     rows = corpus(250, hot=hot)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    check(katz.score(df, batch_tokens=batch, bucket_tokens=bucket).collect(), rows, by_crc)
+    check(katz.score(df, order=order, batch_tokens=batch, bucket_tokens=bucket).collect(), rows, by_crc, order)
 
 
-def test_every_history_sums_to_one():
-    model = Plain([t for _, t in corpus(120)])
-    for h in [END, "w0", "w1", *list(model.c1)[-5:], "never"]:
+@pytest.mark.parametrize("order", [2, 3])
+def test_every_history_sums_to_one(order):
+    model = Plain([t for _, t in corpus(120)], order)
+    words = [END, "w0", "w1", *list(model.c1)[-5:], "never"]
+    for h in [(w,) for w in words] if order == 2 else [(v, w) for v in words[:4] for w in words]:
         assert sum(model.p(w, h) for w in model.c1) + model.p("\0unknown", h) == pytest.approx(1)
 
 
+def test_a_longer_memory_tells_more(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        a, b, w = rng.randrange(12), rng.randrange(12), []
+        for _ in range(40):
+            a, b = b, (5 * a + 7 * b + rng.randrange(2)) % 12
+            w.append(f"w{b}")
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    two, three = (sum(r["score"] for r in katz.score(df, order=k).filter("held_out").collect()) for k in (2, 3))
+    assert three > 0.6 * two
+
+
 def test_held_out_texts_are_likelier_than_under_unigrams(spark):
     rng = random.Random(3)
     rows = []
@@ -138,3 +166,13 @@ def test_words_end_at_ascii_white_space_alone():
 
     words, n = katz.words_of(pa.array(["A\x85b \x1cC\x0bd", None, " \t", "É E"]))
     assert words.to_pylist() == ["a\x85b", "\x1cc", "d", "É", "e"] and n.tolist() == [3, 0, 0, 2]
+
+
+def test_contexts_and_grams_are_told_apart():
+    c = np.stack(np.meshgrid(np.arange(120), np.arange(120)), axis=-1).reshape(-1, 2)
+    h = katz.context_hash(c)
+    assert len(np.unique(h)) == len(c)
+    grams = katz._with_word(np.repeat(h, 20), np.tile(np.arange(20), len(h)))
+    assert len(np.unique(grams)) == 20 * len(h)
+    first, which = katz._distinct(np.array([5, -1, 5, 7, -1]))
+    assert which.tolist() == [1, 0, 1, 2, 0] and first[0] in (1, 4) and first[1] in (0, 2) and first[2] == 3
