@@ -6,6 +6,8 @@ import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +36,26 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of an Arrow batch on its way to Python while a table is stored. By rows alone, batches of texts take several times that, off the heap.
+ARROW_BYTES = "8m"
+
+
+@contextmanager
+def _bounded_batches(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ARROW_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as a table in the shared folder and read back: cuts the lineage and outlives lost executors."""
     spark, path = df.sparkSession, fresh_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with _bounded_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -60,10 +78,10 @@ def released(spark: SparkSession) -> None:
 
     Twice, as the listeners of a query that has just ended may hold it a moment longer.
     """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.1)
+    spark.sparkContext._jvm.System.gc()
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
