@@ -35,8 +35,9 @@ from tessera.llm.common import drawn, join_small, key_text, stored, unused
 
 #: Labelled rows that the classifier may be fitted to: its only bound, which bounds the lexicon too.
 SAMPLE = 6_000
-#: Documents of the sample that a word must be in, and the log odds it must have either way, to tell anything.
-WORD_ROWS, WORD_ODDS = 8, 1.0
+#: Documents of the sample that a word must be in, the log odds it must have either way, and these times the root of the documents, to tell anything:
+#: a word of few documents needs greater odds, or chance would make half of the lexicon.
+WORD_ROWS, WORD_ODDS, WORD_FORCE = 8, 1.0, 10.0
 SITE_WEIGHT = 0.25
 #: A document is rejected when it is over three times as likely bad as good: losing clean text costs more.
 THRESHOLD = 0.25
@@ -114,8 +115,8 @@ def fit(docs: DataFrame, labels: DataFrame, good: Column, id_col: str = "doc_id"
         return Model({}, np.zeros(0), np.ones(0), np.zeros(0), prior)
     seen = sample.mapInArrow(distinct, "word binary, good int, n long").groupBy("word").agg(F.sum(F.when(F.col("good") == 1, F.col("n")).otherwise(0)).alias("g"), F.sum(F.when(F.col("good") == 0, F.col("n")).otherwise(0)).alias("b"))
     odds = F.log((F.col("g") + 0.5) / (n_good + 1)) - F.log((F.col("b") + 0.5) / (n_bad + 1))
-    told = seen.filter((F.col("g") + F.col("b") >= WORD_ROWS) & (F.length("word") > 0)).select("word", odds.alias("odds"))
-    lexicon = {bytes(r["word"]): r["odds"] for r in told.filter(F.abs("odds") > WORD_ODDS).collect()}
+    told = seen.filter((F.col("g") + F.col("b") >= WORD_ROWS) & (F.length("word") > 0)).select("word", odds.alias("odds"), (F.abs(odds) * F.sqrt(F.col("g") + F.col("b"))).alias("force"))
+    lexicon = {bytes(r["word"]): r["odds"] for r in told.filter((F.abs("odds") > WORD_ODDS) & (F.col("force") > WORD_FORCE)).collect()}
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
