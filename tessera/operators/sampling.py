@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.operators.ranking import range_bucket, ranked
@@ -39,10 +40,19 @@ def _placed(frames: DataFrame, recording: str, time: str, tie: str, bucket: Colu
     return ranked(frames.withColumn("__range", bucket), [time, tie], F.col("__range"), "__i", (recording,))
 
 
+def _number(frames: DataFrame, time: str) -> Column:
+    """A number that grows with the time, for ranges. Dates and times without a zone have no cast to one; their fields give seconds, whatever the session's zone."""
+    at = F.col(time)
+    if not isinstance(frames.schema[time].dataType, T.DateType | T.TimestampNTZType):
+        return at.cast("double")
+    at = at.cast("timestamp_ntz")
+    return (F.unix_date(at.cast("date")) * F.lit(86_400.0) + F.hour(at) * 3600 + F.minute(at) * 60 + F.date_part(F.lit("SECOND"), at)).cast("double")
+
+
 def every_nth(frames: DataFrame, recording: str, time: str, tie: str, n: int, name: str = "frame_no") -> DataFrame:
     """Every n-th frame from the first, numbered densely from 0; a recording is sorted in ranges of time, not in one task."""
     at = F.col("__i") - 1
-    bucket = range_bucket(frames, F.col(time).cast("double"))
+    bucket = range_bucket(frames, _number(frames, time))
     return _placed(frames, recording, time, tie, bucket).filter(F.pmod(at, F.lit(n)) == 0).withColumn(name, F.floor(at / n).cast("int")).drop("__i", "__range")
 
 

@@ -354,6 +354,23 @@ def test_hot_groups_are_dealt_to_ranges(spark, monkeypatch):
     assert got["n_samples"] == 700 and [got["median_area"], got["p05_area"], got["p95_area"]] == [int(v) for v in want]
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "long"])
+def test_every_nth_ranges_times_of_any_type(spark, monkeypatch, kind):
+    """Also times that a zone's clock leaves out or has twice, which stay in their order."""
+    monkeypatch.setattr(ranking.range_bucket, "__defaults__", (ranking.BUCKETS, 20))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        k = F.col("id")
+        time = k if kind == "long" else (F.lit("2024-03-09").cast("timestamp_ntz") + F.make_dt_interval(mins=(k * 17).cast("int"))).cast(kind)
+        frames = spark.range(300).select((k % 2).alias("r"), (299 - k).alias("i"), time.alias("t")).repartition(5)
+        want = {(r, i, n) for r in (0, 1) for n, i in enumerate([x["i"] for x in frames.filter(F.col("r") == r).orderBy("t", "i").collect()][::7])}
+        assert {(x["r"], x["i"], x["frame_no"]) for x in sampling.every_nth(frames, "r", "t", "i", 7).collect()} == want
+        assert frames.select(ranking.range_bucket(frames, sampling._number(frames, "t"))).distinct().count() >= 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_recordings_without_images(spark):
     topics = spark.createDataFrame([("a", 1, "/imu", "Imu"), ("b", 1, "/x", "Image"), ("b", 2, "/y", "Imu")], "r string, id int, name string, type string")
     assert [x["r"] for x in sampling.without_topic(topics, ["r"], "id", "name", F.col("type")).collect()] == ["a"]
