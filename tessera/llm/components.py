@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import stored
 
+FILES = 8
 
-def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+
+def star_components(edges: DataFrame, rounds: int = 60, file_rows: int | None = None) -> DataFrame:
     """(node, root) for every node of the edges (a, b): large-star and small-star rounds until nothing changes.
 
-    A round needs a few shuffles of the edges; hubs are summed before they move, and joins on them can be split.
+    A round needs a few shuffles of the edges; hubs are summed before they move, and joins on them can be split. With file_rows, rounds
+    are stored in files of so many edges (FILES at least), however many partitions they were shuffled to.
     """
 
     def state(e: DataFrame):
@@ -25,7 +28,7 @@ def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         edges = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = stored(edges, "edges")
+        edges = stored(edges.coalesce(max(FILES, before[0] // file_rows)) if file_rows else edges, "edges")
         if (after := state(edges)) == before:
             break
         before = after
